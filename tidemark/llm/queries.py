@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cooccur, split
+from tidemark.llm import cooccur, spans, split
 from tidemark.sources.tables import table
 
 
@@ -30,6 +30,18 @@ def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_items(_items(spark, folder), distinct=True)
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.Parsed(table(spark, folder, "documents")).links()
+
+
+def p9_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.Parsed(table(spark, folder, "documents")).spans()
+
+
+def p9_shared(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.shared_fraction(table(spark, folder, "documents"))
+
+
 _P3 = """
 WITH seen AS (SELECT DISTINCT chapter, character FROM coc WHERE chapter IS NOT NULL AND trim(character) <> ''),
 n AS (SELECT character, COUNT(*) AS n FROM seen GROUP BY character),
@@ -43,7 +55,7 @@ WHERE shared * t.n >= 3 * x.n * y.n"""
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces}
+    return {"p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
 
 
 def oracle_sql() -> dict[str, str]:
