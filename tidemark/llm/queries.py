@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cooccur, spans, split
+from tidemark.llm import cooccur, similar, spans, split
 from tidemark.sources.tables import table
 
 
@@ -30,6 +30,17 @@ def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_items(_items(spark, folder), distinct=True)
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """With a floor on the similarity few lists have to be searched: near vectors lie near the same centroids."""
+    near = similar.knn(table(spark, folder, "wiki_chunks"), "chunk_id", "embedding", k=5, min_similarity=0.80, probes=3, postings=2, bits=16)
+    return near.select(F.least("id", "neighbour").alias("chunk_a"), F.greatest("id", "neighbour").alias("chunk_b")).distinct()
+
+
+def p6_knn(spark: SparkSession, folder: str) -> DataFrame:
+    near = similar.knn(table(spark, folder, "wiki_chunks"), "chunk_id", "embedding", k=5, probes=12, postings=3)
+    return near.select(F.col("id").alias("chunk_id"), "neighbour", F.round("similarity", 2).alias("similarity"), "rank")
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.Parsed(table(spark, folder, "documents")).links()
 
@@ -55,7 +66,7 @@ WHERE shared * t.n >= 3 * x.n * y.n"""
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
+    return {"p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
 
 
 def oracle_sql() -> dict[str, str]:
