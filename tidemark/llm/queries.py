@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cooccur, similar, spans, split
+from tidemark.llm import cooccur, mix, pack, similar, spans, split, tokens
+from tidemark.session import materialize
 from tidemark.sources.tables import table
 
 
@@ -41,6 +42,34 @@ def p6_knn(spark: SparkSession, folder: str) -> DataFrame:
     return near.select(F.col("id").alias("chunk_id"), "neighbour", F.round("similarity", 2).alias("similarity"), "rank")
 
 
+def _sized(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(tokens.sized(table(spark, folder, "documents"), keep=("source",)), "sized")
+
+
+def p7_packs(spark: SparkSession, folder: str) -> DataFrame:
+    return pack.pack(_sized(spark, folder), table(spark, folder, "pack_limits"))
+
+
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return pack.fill(p7_packs(spark, folder), table(spark, folder, "pack_limits"))
+
+
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix.mix(_sized(spark, folder), table(spark, folder, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    items, targets = _sized(spark, folder), table(spark, folder, "mix_targets")
+    return mix.shares(mix.mix(items, targets), items, targets)
+
+
+def p8_shares_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for a total as large as the corpus, where small sources end at their allowed repeats."""
+    items, targets = _sized(spark, folder), table(spark, folder, "mix_targets")
+    whole = items.agg(F.sum("tokens")).first()[0]
+    return mix.shares(mix.mix(items, targets, total=float(whole or 0)), items, targets)
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.Parsed(table(spark, folder, "documents")).links()
 
@@ -66,7 +95,7 @@ WHERE shared * t.n >= 3 * x.n * y.n"""
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
+    return {"p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_shares_whole": p8_shares_whole, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
 
 
 def oracle_sql() -> dict[str, str]:
