@@ -1,9 +1,13 @@
 """All queries of the core package."""
 
+from tidemark.plans import records
+
+PARTS = (records,)
+
 
 def queries() -> dict:
-    return {}
+    return {name: f for part in PARTS for name, f in part.queries().items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {name: sql for part in PARTS for name, sql in part.oracle_sql().items()}
