@@ -5,11 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cooccur, mix, pack, similar, spans, split, tokens
+from tidemark.llm import cooccur, mix, names, pack, similar, spans, split, tokens
 from tidemark.session import materialize
 from tidemark.sources.tables import table
 
 
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return names.records(table(spark, folder, "graph_nodes"), table(spark, folder, "characters"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    recs = _records(spark, folder)
+    return names.same_entity_pairs(recs, names.link(recs))
+
+
+def p1_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record with the entity that it belongs to."""
+    return names.link(_records(spark, folder))
+
+
 def p3_pairs(spark: SparkSession, folder: str) -> DataFrame:
     n = table(spark, folder, "chapter").agg(F.count("*").alias("n_groups"))
     return cooccur.together(table(spark, folder, "coc"), "chapter", "character", n, min_shared=8, min_lift=3.0)
@@ -95,7 +109,7 @@ WHERE shared * t.n >= 3 * x.n * y.n"""
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_shares_whole": p8_shares_whole, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
+    return {"p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_shares_whole": p8_shares_whole, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -34,8 +34,8 @@ PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, HARD = 0.0, 0.15, 0.3, 1.0, 2.0, 8.0
 BALANCE = 1.5
 
 _BREAKS = re.compile(
-    r"(?P<p>(?:\r\n|\n|\r| |\u0085)[ \t]*(?:\r\n|\n|\r| |\u0085)\s*| \s*)"
-    r"|(?P<l>\r\n|\n|\r| |\u0085)"
+    r"(?P<p>(?:\r\n|\n|\r|\u2028|\u0085)[ \t]*(?:\r\n|\n|\r|\u2028|\u0085)\s*|\u2029\s*)"
+    r"|(?P<l>\r\n|\n|\r|\u2028|\u0085)"
     r"|(?P<s>[.!?…]+[\"'”’)\]]*\s+|[。！？][」』）]*|[؟۔।]\s*)"
 )
 _CLAUSES = re.compile(r"[,;:]\s+|[、，；،]")
