@@ -1,8 +1,8 @@
 """All queries of the core package."""
 
-from tidemark.plans import records
+from tidemark.plans import records, story
 
-PARTS = (records,)
+PARTS = (records, story)
 
 
 def queries() -> dict:
