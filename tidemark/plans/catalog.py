@@ -1,8 +1,8 @@
 """All queries of the core package."""
 
-from tidemark.plans import records, story
+from tidemark.plans import entities, records, story, texts
 
-PARTS = (records, story)
+PARTS = (records, story, entities, texts)
 
 
 def queries() -> dict:
