@@ -36,14 +36,16 @@ def affiliation(entry: str) -> tuple[str, str | None, str]:
     subs, found = [], []
     while (cut := _tail(entry)) and cut[0]:
         entry, inside = cut
-        words = re.split(r"[,;/、（(]|\)$|）$", inside)
-        for w in map(str.strip, words):
-            w = w.rstrip(")）").strip()
-            if w and (key := SAME.get(w.lower(), w.lower())) in _RANK:
+        plain = []
+        for w in re.split(r"[,;/、（(]", inside):
+            w = w.strip().rstrip(")）").strip()
+            key = SAME.get(w.lower(), w.lower())
+            if key in _RANK:
                 found.append(key)
-            elif w and w.lower() != "current":
-                subs.append(w)
-    return entry, ", ".join(reversed(subs)) or None, min(found, key=_RANK.get) if found else "current"
+            elif w and key != "current":
+                plain.append(w)
+        subs = plain + subs
+    return entry, ", ".join(subs) or None, min(found, key=_RANK.get) if found else "current"
 
 
 def power(name: str) -> tuple[str, str | None, bool]:

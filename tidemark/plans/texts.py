@@ -181,6 +181,27 @@ def events_session(spark, d):
     return e.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("w.end").cast("timestamp_ntz").alias("end"), "n")
 
 
+def _stream(spark, d):
+    from tidemark.streaming import jobs
+
+    return jobs.event_stream(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("""SELECT time_bucket(INTERVAL '1 day', ts) AS start, event_type, COUNT(*)::BIGINT AS n FROM events GROUP BY 1, 2""")
+def stream_tumbling(spark, d):
+    """The daily windows as a stream over the event files."""
+    from tidemark.streaming import jobs
+
+    return jobs.settled(jobs.tumbling(_stream(spark, d)), spark).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+@query("""SELECT (date_trunc('day', ts) - k * INTERVAL '1 day') AS start, COUNT(*)::BIGINT AS n FROM events, (SELECT UNNEST(generate_series(0, 2)) AS k) GROUP BY 1""")
+def stream_sliding(spark, d):
+    from tidemark.streaming import jobs
+
+    return jobs.settled(jobs.sliding(_stream(spark, d)), spark).select(F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
 @query("""SELECT 'region' AS name, (SELECT COUNT(*) FROM region)::BIGINT AS ours, (SELECT COUNT(*) FROM region WHERE r_regionkey <> 2)::BIGINT AS theirs, FALSE AS in_sync
 UNION ALL SELECT 'nation', (SELECT COUNT(*) FROM nation)::BIGINT, (SELECT COUNT(*) FROM nation)::BIGINT, TRUE""")
 def export_diff(spark, d):
