@@ -1,0 +1,26 @@
+import os
+
+import pytest
+
+from tidemark.llm import queries
+
+DATA = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+COLUMNS = {"p1_found": ["rec_a", "rec_b"], "p3_found": ["char_a", "char_b"], "p5_found": ["field", "item_id", "section"], "p6_found": ["chunk_a", "chunk_b"], "p9_found": ["doc_a", "doc_b"]}
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_runs(spark, name):
+    got = queries.queries()[name](spark, DATA)
+    assert got.columns == COLUMNS.get(name, got.columns)
+    rows = got.toPandas()
+    if name in queries.oracle_sql():
+        import duckdb
+
+        con = duckdb.connect()
+        for f in os.listdir(DATA):
+            if f.endswith(".parquet"):
+                con.sql(f"create view {f[:-8]} as select * from '{DATA}/{f}'")
+        want = con.sql(queries.oracle_sql()[name]).df()
+        key = sorted(rows.columns)
+        assert sorted(map(tuple, rows[key].round(6).astype(str).values)) == sorted(map(tuple, want[key].round(6).astype(str).values))

@@ -108,7 +108,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 def _unit(vectors: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
     v = F.col(vec_col)
     ok = F.col(id_col).isNotNull() & (F.size(v) == dim)
-    return vectors.filter(ok).filter(~F.exists(v, lambda e: e.isNull() | F.isnan(e)) & F.exists(v, lambda e: e != 0)).select(F.col(id_col).alias("id"), v.alias("vec"))
+    return vectors.filter(ok).filter(~F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))) & F.exists(v, lambda e: e != 0)).select(F.col(id_col).alias("id"), v.alias("vec"))
 
 
 def knn(vectors: DataFrame, id_col: str, vec_col: str, dim: int = 384, k: int = 5, min_similarity: float = -1.0, probes: int = 8, postings: int = 2, ratio: float = 1.15, bits: int = 8, list_size: int = LIST_SIZE, block: int = BLOCK) -> DataFrame:
