@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import grammars, scalars, wikitext
 from tidemark.operators import packed_values, scoring
 from tidemark.plans import story
+from tidemark.session import materialize
 from tidemark.sources.tables import table
 
 Q: dict = {}
@@ -206,7 +207,7 @@ _CUT = ", ".join(f"list_sort(list(score))[CAST(round_even({p} * (COUNT(*) - 1),
 
 @query(f"""WITH s AS ({_SCORE}), c AS (SELECT {_CUT} FROM s) SELECT id, score, CASE WHEN score >= cS THEN 'S' WHEN score >= cA THEN 'A' WHEN score >= cB THEN 'B' WHEN score >= cC THEN 'C' ELSE 'D' END AS tier FROM s, c""")
 def importance_tiers(spark, d):
-    s = scores(spark, d)
+    s = materialize(scores(spark, d), "scores")  # read for the histogram and for the result
     return s.join(F.broadcast(scoring.cut_points(s, "score"))).select("id", "score", scoring.tier(F.col("score")).alias("tier"))
 
 
