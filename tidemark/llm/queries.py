@@ -108,6 +108,21 @@ FROM pairs JOIN n x ON x.character = item_a JOIN n y ON y.character = item_b, (S
 WHERE shared * t.n >= 3 * x.n * y.n"""
 
 
+_P5 = r"""SELECT DISTINCT 'full_text' AS field, page_id AS item_id, '' AS section FROM wiki_text WHERE length(full_text) > 3200
+UNION SELECT 'chunk_text', chunk_id, '' FROM wiki_chunks WHERE length(chunk_text) > 3200
+UNION SELECT 'sections', page_id, k FROM (SELECT page_id, sections, UNNEST(json_keys(sections)) AS k FROM wiki_text WHERE json_valid(sections) AND json_type(sections) = 'OBJECT')
+WHERE length(json_extract_string(sections, '$."' || replace(k, '"', '\"') || '"')) > 3200"""
+
+_P6 = """WITH v AS (SELECT chunk_id, embedding::DOUBLE[] AS e FROM wiki_chunks WHERE len(embedding) = 384 AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+s AS (SELECT a.chunk_id AS a, b.chunk_id AS b, list_cosine_similarity(a.e, b.e) AS c FROM v a JOIN v b ON a.chunk_id <> b.chunk_id),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY a ORDER BY c DESC, b) AS r FROM s)
+SELECT DISTINCT least(a, b) AS chunk_a, greatest(a, b) AS chunk_b FROM r WHERE r <= 5 AND c >= 0.8"""
+
+_P9 = """WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, i, 200)) AS h FROM (SELECT doc_id, text, UNNEST(generate_series(1, length(text) - 199)) AS i FROM documents WHERE length(text) >= 200)),
+k AS (SELECT h FROM w GROUP BY h HAVING COUNT(*) > 1), x AS (SELECT w.* FROM w JOIN k USING (h))
+SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id"""
+
+
 def queries() -> dict:
     return {"p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_shares_whole": p8_shares_whole, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
 
@@ -116,4 +131,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p3_found": f"SELECT item_a AS char_a, item_b AS char_b FROM ({_P3})",
         "p3_pairs": _P3,
+        "p5_found": _P5,
+        "p6_found": _P6,
+        "p9_found": _P9,
     }
