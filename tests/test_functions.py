@@ -77,3 +77,27 @@ def test_affiliation(text, want):
 def test_power():
     assert grammars.power("Zo no Mi, Model: Ox [2]") == ("Zo no Mi", "Ox", False)
     assert grammars.power("Zo no Mi (Artificial)") == ("Zo no Mi", None, True)
+
+
+def test_power_slots():
+    assert grammars.powers([("Go no Mi(Hi no Mi, Model: Ni) [2]", "Paramecia(Mythical Zoan)", "Gum(Human)"), (" ", None, None)]) == [("Hi no Mi", "Ni", "Human" if grammars.identity("Gum(Human)") == "Human" else "Gum(Human)", "Zoan", "Mythical", False)]
+    assert grammars.powers([("Zo no Mi (Artificial)", "Artificial Zoan", None)]) == [("Zo no Mi", None, None, "Zoan", None, True)]
+    assert grammars.identity("A(b)") == "A(b)"
+
+
+def test_likely_person(spark):
+    df = spark.createDataFrame([("Red Pirates", None, None), ("Red Pirates", 3, None), ("Ann", None, None), (None, None, None), ("Island Ann", None, "March 1st")], "n string, a int, b string")
+    assert [r[0] for r in df.select(scalars.likely_person(F.col("n"), F.col("a"), F.col("b"))).collect()] == [False, True, True, True, True]
+
+
+def test_outcome_and_birthday(spark):
+    df = spark.createDataFrame([("x", None), (None, None), (" ", "http://wiki/Video_Games"), (None, "http://else/x"), (None, "http://wiki/x")], "n string, u string")
+    assert [r[0] for r in df.select(scalars.scrape_outcome([F.col("n")], F.col("u"), "wiki")).collect()] == ["success", "failed_no_url", "failed_video_game", "failed_external_url", "failed_unknown"]
+    assert str(one(spark, scalars.plain_month_day, "February 29")) == "2000-02-29" and one(spark, scalars.plain_month_day, "May 40") is None
+
+
+def test_ratio():
+    from tidemark.operators.merging import ratio
+
+    assert ratio("a", "a") == 1.0 and ratio(None, "a") == 0.0 and ratio(None, None) == 1.0 and ratio("aaaa", "aaaabbbbb") == 0.0
+    assert ratio("x" * 99 + "y", "x" * 99 + "z") == 0.99 and ratio("abcd", "wxyz") == 0.0

@@ -57,6 +57,35 @@ def power(name: str) -> tuple[str, str | None, bool]:
     return base.strip(), model.strip() or None, made
 
 
+#: Type names that mark a second identity, and the words that refine a type.
+TYPES = ("Paramecia", "Zoan", "Logia", "Mythical Zoan", "Ancient Zoan", "Special Paramecia")
+REFINED = ("Mythical", "Ancient", "Special")
+
+
+def identity(text: str) -> str:
+    """Of ``cover(true)`` the true name, if the inside is a power's name or a type; else the text."""
+    cut = _tail(text)
+    return cut[1] if cut and cut[0] and ("no Mi" in cut[1] or cut[1] in TYPES) else text
+
+
+def power_entry(name: str | None, kind: str | None, english: str | None) -> tuple | None:
+    """(name, model, English name, type, refinement, made by hand) of one slot; None without a name."""
+    if not (name or "").strip():
+        return None
+    shown, hidden, made_name = power(name)
+    whole = f"{shown}, Model: {hidden}" if hidden and "(" not in shown else re.sub(r"\[\d+\]|\s*\(\s*Artifici?al\s*\)", "", name).strip()
+    base, model, _ = power(identity(whole))
+    kind, _, made_kind = power(kind or "")
+    kind = identity(kind)
+    refined = next((r for r in REFINED if kind.startswith(r + " ")), None)
+    return base, model, identity(re.sub(r"\[\d+\]", "", english or "").strip()) or None, kind.removeprefix(f"{refined} ") or None, refined, made_name or made_kind
+
+
+def powers(slots: list[tuple]) -> list[tuple]:
+    """Entries of up to two slots (name, type, English name) of a record."""
+    return [e for s in slots if (e := power_entry(*s))]
+
+
 @F.pandas_udf(T.StructType().add("group", "string").add("sub_group", "string").add("status", "string"))
 def affiliation_udf(entry: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([affiliation(e or "") for e in entry], columns=["group", "sub_group", "status"])

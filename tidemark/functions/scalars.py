@@ -139,3 +139,24 @@ def first_sentences(text: Column, n: int = 2) -> Column:
     """The first ``n`` sentences; white space is collapsed, reference marks go; null for blank text."""
     clean = F.trim(F.regexp_replace(F.regexp_replace(text, r"\[\d+\]", ""), r"\s+", " "))
     return F.when(~blank(clean), F.array_join(F.slice(F.split(clean, r"(?<=[.!?])\s+"), 1, n), " "))
+
+
+#: Words in names of groups and places.
+GROUP_WORDS = r"\b(?:pirates?|marines?|animals?|country|village|town|island|bounty hunters?|crew|kingdom|army)\b"
+
+
+def likely_person(name: Column, age: Column, birth: Column) -> Column:
+    """False for a name with a word of groups or places and neither age nor birthday."""
+    return ~(F.coalesce(F.lower(name).rlike(GROUP_WORDS), F.lit(False)) & blank(age.cast("string")) & blank(birth))
+
+
+def scrape_outcome(stated: list[Column], url: Column, host: str) -> Column:
+    """'success' if any of the fields is stated, else why a record is empty, read off its address."""
+    some = reduce(lambda a, b: a | b, [~blank(c.cast("string")) for c in stated])
+    empty = F.when(blank(url), "failed_no_url").when(url.contains("Video_Games"), "failed_video_game").when(~url.contains(host), "failed_external_url")
+    return F.when(some, "success").otherwise(empty.otherwise("failed_unknown"))
+
+
+def plain_month_day(text: Column) -> Column:
+    """'March 9' as a date of the year 2000."""
+    return F.to_date(F.try_to_timestamp(F.concat(F.trim(text), F.lit(" 2000")), F.lit("MMMM d yyyy")))

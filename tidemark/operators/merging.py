@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import difflib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -62,3 +66,32 @@ def apply_changes(open_versions: DataFrame, changes: DataFrame, keys: list[str],
     old = old.withColumn("superseded_at", F.when(F.col("change") == "superseded", now).otherwise(F.col("superseded_at"))).drop("change")
     fresh = c.filter(F.col("change").isin("inserted", "superseded")).select(*keys, F.col("new_text").alias("text"), F.col("new_hash").alias("hash"), now.alias("first_seen"), now.alias("last_seen"), F.lit(None).cast("timestamp").alias("superseded_at"))
     return old.unionByName(fresh)
+
+
+def membership_flags(df: DataFrame, key: str, members: dict[str, DataFrame]) -> DataFrame:
+    """``df`` with a boolean column per named list: whether ``key`` is among the ids (column ``id``) of that list."""
+    for name, ids in members.items():
+        flag = ids.select(F.col("id").alias("_id")).distinct().withColumn("_in", F.lit(True))
+        df = df.join(flag, F.col(key) == F.col("_id"), "left").withColumn(name, F.coalesce("_in", F.lit(False))).drop("_id", "_in")
+    return df
+
+
+def ratio(a: str | None, b: str | None, least: float = 0.95, lengths: float = 0.8) -> float:
+    """Matching-blocks similarity of two texts; cheap upper bounds first, 0 as soon as one is below ``least``."""
+    if not a or not b:
+        return float(a == b)
+    if a == b:
+        return 1.0
+    if min(len(a), len(b)) < lengths * max(len(a), len(b)):
+        return 0.0
+    m = difflib.SequenceMatcher(None, a, b, autojunk=False)
+    return m.ratio() if m.quick_ratio() >= least else 0.0
+
+
+def ratio_udf(least: float = 0.95):
+    """Column form of ``ratio``; call it on the few pairs whose hashes differ."""
+    @F.pandas_udf(T.DoubleType())
+    def udf(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([ratio(x, y, least) for x, y in zip(a, b)])
+
+    return udf

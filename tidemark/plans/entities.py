@@ -150,6 +150,27 @@ def key_names(spark, d):
     return table(spark, d, "characters").select("id", wikitext.sanitize_udf("name").alias("key"))
 
 
+@query(r"""SELECT id, NOT (COALESCE(regexp_matches(lower(name), '\b(?:pirates?|marines?|animals?|country|village|town|island|bounty hunters?|crew|kingdom|army)\b'), FALSE) AND age IS NULL AND COALESCE(trim(birth), '') = '') AS likely FROM characters""")
+def likely_persons(spark, d):
+    return table(spark, d, "characters").select("id", scalars.likely_person(F.col("name"), F.col("age"), F.col("birth")).alias("likely"))
+
+
+@query("""SELECT CASE WHEN COALESCE(trim(name), '') <> '' OR COALESCE(trim(origin), '') <> '' OR COALESCE(trim(birth), '') <> '' OR age IS NOT NULL THEN 'success' ELSE 'failed_no_url' END AS outcome, COUNT(*)::BIGINT AS n FROM characters GROUP BY 1""")
+def scrape_outcomes(spark, d):
+    outcome = scalars.scrape_outcome([F.col(c) for c in ("name", "origin", "birth", "age")], F.lit(None).cast("string"), "wiki")
+    return table(spark, d, "characters").groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT c.id, EXISTS (SELECT 1 FROM character_affiliation a WHERE a.character_id = c.id AND contains(lower(a.group_name), 'navy')) AS navy, EXISTS (SELECT 1 FROM coc WHERE character = c.id AND note = 'silhouette') AS cover FROM characters c""")
+def membership_flags(spark, d):
+    """Boolean columns for membership in lists of ids."""
+    from tidemark.operators.merging import membership_flags as flags
+
+    navy = table(spark, d, "character_affiliation").filter(F.lower("group_name").contains("navy")).select(F.col("character_id").alias("id"))
+    cover = table(spark, d, "coc").filter(F.col("note") == "silhouette").select(F.col("character").alias("id"))
+    return flags(table(spark, d, "characters").select("id"), "id", {"navy": navy, "cover": cover})
+
+
 @query("""SELECT COUNT(*)::BIGINT AS n, COUNT(name)::BIGINT AS names, COUNT(origin)::BIGINT AS origins, COUNT(birth)::BIGINT AS births, COUNT(bounty)::BIGINT AS bounties, COUNT(age)::BIGINT AS ages FROM characters""")
 def availability(spark, d):
     c = F.count

@@ -11,6 +11,8 @@ from tidemark.sources.tables import table
 ARC, SAGA = 50, 200
 #: Items that appear in at most so many chapters are left out of the networks.
 RARE = 10
+#: Persons that are kept although nothing is stated about them; a thing's status still removes them.
+KEPT = ("Brownbeard", "Charlos", "Gallant_Hippo", "Goa_King", "Lami", "Octopus_Mash", "Pandaman", "Rosward", "Shalria", "Sig", "Sphinx", "Ukkari")
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -198,13 +200,13 @@ def merge_dedup(spark, d):
     return rows.agg(F.sum("n").alias("raw_rows"), F.count("*").alias("kept_rows"))
 
 
-@query("""SELECT c.chapter, c.character FROM coc c WHERE EXISTS (SELECT 1 FROM characters x WHERE x.id = c.character AND NOT (COALESCE(x.status IN ('Active', 'Destroyed'), FALSE) OR (COALESCE(trim(x.status), '') = '' AND COALESCE(trim(x.birth), '') = '')))""")
+@query("SELECT c.chapter, c.character FROM coc c WHERE EXISTS (SELECT 1 FROM characters x WHERE x.id = c.character AND NOT (COALESCE(x.status IN ('Active', 'Destroyed'), FALSE) OR (COALESCE(trim(x.status), '') = '' AND COALESCE(trim(x.birth), '') = '' AND x.id NOT IN (" + ", ".join(f"'{k}'" for k in KEPT) + "))))")
 def filter_non_entities(spark, d):
     """Appearances of entities that are persons: not of a thing's status, and with a status or a birthday."""
     from tidemark.functions.scalars import THING_STATUSES, blank
 
     x = table(spark, d, "characters")
-    person = x.filter(~(F.coalesce(F.col("status").isin(*THING_STATUSES), F.lit(False)) | (blank(F.col("status")) & blank(F.col("birth"))))).select("id")
+    person = x.filter(~(F.coalesce(F.col("status").isin(*THING_STATUSES), F.lit(False)) | (blank(F.col("status")) & blank(F.col("birth")) & ~F.col("id").isin(*KEPT)))).select("id")
     return table(spark, d, "coc").join(person, F.col("character") == F.col("id"), "left_semi").select("chapter", "character")
 
 
