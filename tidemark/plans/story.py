@@ -164,6 +164,63 @@ def network_report(spark, d):
     return e.agg(F.count("*").alias("edges"), F.max("weight").alias("max_weight")).join(F.broadcast(nodes))
 
 
+# The queries above leave out rare characters and light edges, as their SQL does; those below keep every character that
+# appears and every edge.
+
+
+@query(f"""WITH m AS (SELECT chapter AS g, character AS v, COUNT(*) AS n FROM coc WHERE chapter IS NOT NULL AND trim(character) <> '' GROUP BY 1, 2)
+SELECT a.v AS source, b.v AS target, SUM(a.n * b.n)::BIGINT AS weight FROM m a JOIN m b ON a.g = b.g AND a.v < b.v GROUP BY 1, 2""")
+def coappear_chapter_all(spark, d):
+    """Raw rows: repeated appearance rows multiply the weight."""
+    coc = table(spark, d, "coc").filter(F.trim("character") != "")
+    return network.pair_edges(coc, "chapter", "character", distinct=False)
+
+
+@query(_pairs(f"SELECT DISTINCT arc AS g, character AS v FROM ({_SEEN}) x JOIN {_ARCS} r ON chapter BETWEEN s AND e", 1))
+def coappear_arc_all(spark, d):
+    return network.pair_edges(_in_ranges(spark, d, seen(spark, d), ARC, "arc"), "arc", "character")
+
+
+@query(_pairs(f"SELECT DISTINCT saga AS g, character AS v FROM ({_SEEN}) x JOIN {_SAGAS} r ON chapter BETWEEN s AND e", 1))
+def coappear_saga_all(spark, d):
+    return network.pair_edges(_in_ranges(spark, d, seen(spark, d), SAGA, "saga"), "saga", "character")
+
+
+def _consecutive_all(n: int):
+    def run(spark, d):
+        starts = F.explode(F.sequence(F.col("chapter") - (n - 1), F.col("chapter")))
+        member = seen(spark, d).select(starts.alias("g"), "character").filter(F.col("g") >= 1)
+        return network.pair_edges(member, "g", "character")
+
+    run.__name__ = f"coappear_consec_{n}_all"
+    return query(_pairs(f"SELECT DISTINCT chapter - k AS g, character AS v FROM ({_SEEN}) x, (SELECT UNNEST(generate_series(0, {n - 1})) AS k) WHERE chapter - k >= 1", 1))(run)
+
+
+for _n in (2, 3, 4, 5, 7):
+    _consecutive_all(_n)
+
+_EDGES_ALL = _pairs(f"SELECT chapter AS g, character AS v FROM ({_SEEN})", 1)
+
+
+def _edges_all(spark, d):
+    return network.pair_edges(seen(spark, d), "chapter", "character")
+
+
+@query(f"""WITH e AS ({_EDGES_ALL}), n AS (SELECT DISTINCT character AS node FROM ({_SEEN}))
+SELECT n.node, COUNT(weight)::BIGINT AS degree, COALESCE(SUM(weight), 0)::BIGINT AS weighted_degree FROM n LEFT JOIN (SELECT source AS node, weight FROM e UNION ALL SELECT target, weight FROM e) x ON x.node = n.node GROUP BY n.node""")
+def network_degree_all(spark, d):
+    """Characters that always appear alone have degree 0."""
+    nodes = seen(spark, d).select(F.col("character").alias("node")).distinct()
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return nodes.join(network.degrees(_edges_all(spark, d)), "node", "left").select("node", zero("degree"), zero("weighted_degree"))
+
+
+@query(f"WITH e AS ({_EDGES_ALL}) SELECT COUNT(*)::BIGINT AS edges, MAX(weight)::BIGINT AS max_weight, (SELECT COUNT(DISTINCT character) FROM ({_SEEN}))::BIGINT AS nodes FROM e")
+def network_report_all(spark, d):
+    nodes = seen(spark, d).select("character").distinct().agg(F.count("*").alias("nodes"))
+    return _edges_all(spark, d).agg(F.count("*").alias("edges"), F.max("weight").alias("max_weight")).join(F.broadcast(nodes))
+
+
 @query("SELECT number, title, volume, date FROM chapter ORDER BY number DESC LIMIT 1")
 def entity_latest(spark, d):
     return table(spark, d, "chapter").select("number", "title", "volume", "date").orderBy(F.desc("number")).limit(1)
