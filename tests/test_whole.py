@@ -2,6 +2,7 @@
 
 import datetime
 
+from tidemark.operators import ranges
 from tidemark.plans import story
 
 
@@ -26,3 +27,17 @@ def test_networks_keep_rare_characters_and_light_edges(spark, tmp_path):
     assert run("coappear_consec_3_all") == [("a", "b", 1), ("a", "c", 1), ("b", "c", 2), ("b", "d", 1), ("c", "d", 1)]
     assert run("network_degree_all") == [("a", 1, 1), ("b", 2, 2), ("c", 1, 1), ("d", 0, 0)]
     assert run("network_report_all") == [(2, 1, 4)]
+
+
+def test_gaps_follow_chapter_order(spark, tmp_path):
+    day = lambda k: datetime.date(2020, 1, 1) + datetime.timedelta(k)
+    chapters = [(1, day(0), "x"), (2, day(7), "y"), (3, None, "x"), (4, day(22), None), (5, day(29), "x"), (6, day(60), "y")]
+    d = write(spark, tmp_path, chapter=(chapters, "number int, date date, jump string"))
+    want = [(1, day(0), 7, "none"), (2, day(7), 15, "break"), (4, day(22), 7, "none"), (5, day(29), 31, "long")]
+    assert rows(story.queries()["gap_days_all"](spark, d)) == want
+
+
+def test_following_crosses_empty_ranges(spark):
+    df = spark.createDataFrame([(k, k * k) for k in (9, 1, 5, 3, 7)], "n int, v int")
+    for parts in (1, 3, 5, 12):
+        assert rows(ranges.following(df, "n", "v", "next", parts)) == [(1, 1, 9), (3, 9, 25), (5, 25, 49), (7, 49, 81), (9, 81, None)]

@@ -7,9 +7,11 @@ Null ends or points match nothing; an interval whose end lies before its start i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 
 def _bucket(value: Column, width: int) -> Column:
     return F.floor(value / F.lit(width))
@@ -43,3 +45,18 @@ def equal_ranges(points: DataFrame, at: str, width: int, name: str) -> DataFrame
     top = points.agg(F.max(at).alias("top"))
     k = top.select(F.explode(F.sequence(F.lit(0), F.floor((F.col("top") - 1) / width).cast("int"))).alias("k"))
     return k.select((F.col("k") + 1).alias(name), (F.col("k") * width + 1).alias("start"), ((F.col("k") + 1) * width).alias("end"))
+
+
+def following(df: DataFrame, order: str, value: str, name: str, parts: int | None = None) -> DataFrame:
+    """``df`` with column ``name``: the ``value`` of the next row by ``order``, a column without nulls or repeats.
+
+    Rows are ranged by ``order``; each range looks ahead on its own, and its last row takes the first value of the next
+    range that has rows. Only that one row a range meets in one task.
+    """
+    ranged = df.repartitionByRange(parts, order) if parts else df.repartitionByRange(order)
+    local = materialize(ranged.withColumn("_part", F.spark_partition_id()), "following")
+    first = local.groupBy("_part").agg(F.min_by(value, order).alias("_first"), F.max(order).alias("_last"))
+    border = first.select("_part", "_last", F.lead("_first").over(Window.orderBy("_part")).alias("_next"))
+    ahead = F.lead(value).over(Window.partitionBy("_part").orderBy(order))
+    got = local.withColumn(name, ahead).join(F.broadcast(border), "_part")
+    return got.withColumn(name, F.when(F.col(order) == F.col("_last"), F.col("_next")).otherwise(F.col(name))).select(*df.columns, name)

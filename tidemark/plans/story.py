@@ -303,6 +303,15 @@ def gap_days(spark, d):
     return got.withColumn("gap", F.when(F.col("days") > 21, "long").when(F.col("days") > 14, "break").otherwise("none"))
 
 
+@query("""SELECT number, date, days, CASE WHEN days > 21 THEN 'long' WHEN days > 14 THEN 'break' ELSE 'none' END AS gap FROM
+(SELECT number, date, CAST(LEAD(date) OVER (ORDER BY number) - date AS BIGINT) AS days FROM chapter WHERE date IS NOT NULL AND number IS NOT NULL) WHERE days IS NOT NULL""")
+def gap_days_all(spark, d):
+    """Days until the next dated chapter, over all chapters in order; the last one has none."""
+    c = table(spark, d, "chapter").select("number", "date").filter(F.col("date").isNotNull() & F.col("number").isNotNull())
+    got = ranges.following(c, "number", "date", "next").select("number", "date", F.datediff("next", "date").cast("long").alias("days"))
+    return got.filter(F.col("days").isNotNull()).withColumn("gap", F.when(F.col("days") > 21, "long").when(F.col("days") > 14, "break").otherwise("none"))
+
+
 @query("""SELECT ((number - 1) // 100)::BIGINT AS century, MIN(date) AS start_date, MAX(date) AS end_date, CAST(MAX(date) - MIN(date) AS BIGINT) AS days FROM chapter GROUP BY 1 HAVING COUNT(*) = 100""")
 def century_windows(spark, d):
     """Tumbling windows of 100 chapters; an incomplete window is left out."""
