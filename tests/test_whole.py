@@ -2,8 +2,8 @@
 
 import datetime
 
-from tidemark.operators import ranges
-from tidemark.plans import story
+from tidemark.operators import chunks, ranges
+from tidemark.plans import story, texts
 
 
 def write(spark, folder, **tables):
@@ -41,3 +41,13 @@ def test_following_crosses_empty_ranges(spark):
     df = spark.createDataFrame([(k, k * k) for k in (9, 1, 5, 3, 7)], "n int, v int")
     for parts in (1, 3, 5, 12):
         assert rows(ranges.following(df, "n", "v", "next", parts)) == [(1, 1, 9), (3, 9, 25), (5, 25, 49), (7, 49, 81), (9, 81, None)]
+
+
+def test_entity_link_takes_aliases_and_every_node(spark, tmp_path):
+    nodes = [(1, "Straw Hat", ["the Boss", None, "x"]), (2, "Straw Hat Fleet", None), (3, "Tall Ann", ["THE BOSS "]), (4, "Hat Fleet Yard", []), (5, None, ["Ōka"]), (6, "Straw Hat", ["Raw"])]
+    documents = [(10, "The boss left."), (11, "straw hat fleet yard"), (12, "Met Ōka; bosses, tall Annie, x."), (13, None)]
+    d = write(spark, tmp_path, graph_nodes=(nodes, "id int, canonical_name string, aliases array<string>"), documents=(documents, "doc_id long, text string"))
+    want = [(10, 1), (10, 3), (11, 1), (11, 2), (11, 4), (11, 6), (12, 5)]
+    assert rows(texts.queries()["entity_link"](spark, d)) == want
+    names = spark.createDataFrame([(i, n) for i, c, al in nodes for n in [c, *(al or [])]], "id int, name string")
+    assert rows(chunks.link_names(spark.createDataFrame(documents, "doc_id long, text string"), names, shard=2)) == want

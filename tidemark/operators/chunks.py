@@ -67,16 +67,17 @@ def page_chunks(pages: DataFrame) -> DataFrame:
 def link_names(texts: DataFrame, names: DataFrame, shard: int = SHARD) -> DataFrame:
     """``doc_id, id``: which of ``names(id, name)`` stand in ``texts(doc_id, text)`` as whole words, case aside.
 
-    Names are spread over shards of at most about ``shard``; each shard is one automaton and one pass over the texts, so
-    the size of what is sent to a task is bounded. Of overlapping names the longest counts.
+    An id may have several names and a name several ids; each counts, also where names overlap, so the shards don't
+    matter to the result. Names are spread over shards of at most about ``shard``; each shard is one automaton and one
+    pass over the texts, so the size of what is sent to a task is bounded.
     """
-    folded = names.select("id", F.lower(F.trim("name")).alias("name")).filter(F.length("name") >= 2).groupBy("name").agg(F.min("id").alias("id"))
+    folded = names.select("id", F.lower(F.trim("name")).alias("name")).filter(F.length("name") >= 2).distinct()
     count = folded.count()
     shards = max(1, -(-count // shard))
     sc = texts.sparkSession.sparkContext
     parts = []
     for s in range(shards):
-        rows = folded.filter(F.pmod(F.xxhash64("name"), F.lit(shards)) == s).toArrow().to_pydict()
+        rows = folded.filter(F.pmod(F.xxhash64("name", "id"), F.lit(shards)) == s).toArrow().to_pydict()
         parts.append(texts.select("doc_id", "text").filter(F.col("text").isNotNull()).mapInArrow(_find(sc.broadcast(list(zip(rows["name"], rows["id"])))), "doc_id long, id int"))
     out = parts[0]
     for p in parts[1:]:
@@ -88,28 +89,26 @@ def _find(words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
-        automaton = ahocorasick.Automaton()
+        owners: dict[str, list[int]] = {}
         for name, ident in words.value:
-            automaton.add_word(name, (len(name), ident))
-        if words.value:
+            owners.setdefault(name, []).append(ident)
+        automaton = ahocorasick.Automaton()
+        for name, idents in owners.items():
+            automaton.add_word(name, (len(name), idents))
+        if owners:
             automaton.make_automaton()
         edge = re.compile(r"\w")
         for batch in batches:
             docs, ids = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                low, best = text.lower(), {}
-                for end, (n, ident) in automaton.iter(low) if words.value else ():
+                low, found = text.lower(), set()
+                for end, (n, idents) in automaton.iter(low) if owners else ():
                     a = end + 1 - n
                     if (a and edge.match(low[a - 1])) or (end + 1 < len(low) and edge.match(low[end + 1])):
                         continue
-                    best[a] = max(best.get(a, (0, 0)), (n, ident))
-                taken = -1
-                for a in sorted(best):
-                    n, ident = best[a]
-                    if a >= taken:
-                        docs.append(doc)
-                        ids.append(ident)
-                        taken = a + n
+                    found.update(idents)
+                docs.extend([doc] * len(found))
+                ids.extend(found)
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ids, pa.int32())], ["doc_id", "id"])
 
     return run

@@ -115,8 +115,9 @@ def term_index(spark, d):
 
 @query()
 def entity_link(spark, d):
-    """Nodes whose name stands in a document as whole words: an automaton over shards of names, no theta join."""
-    nodes = table(spark, d, "graph_nodes").select("id", F.col("canonical_name").alias("name"))
+    """Nodes whose name or alias stands in a document as whole words: an automaton over shards of names, no theta join."""
+    names = F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))
+    nodes = table(spark, d, "graph_nodes").select("id", F.explode(names).alias("name"))
     return chunks.link_names(table(spark, d, "documents").select("doc_id", "text"), nodes)
 
 
