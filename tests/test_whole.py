@@ -1,6 +1,7 @@
 """Queries that keep every row of their job, on small tables written for each test."""
 
 import datetime
+import json
 
 from tidemark.operators import chunks, ranges
 from tidemark.plans import story, texts
@@ -51,3 +52,18 @@ def test_entity_link_takes_aliases_and_every_node(spark, tmp_path):
     assert rows(texts.queries()["entity_link"](spark, d)) == want
     names = spark.createDataFrame([(i, n) for i, c, al in nodes for n in [c, *(al or [])]], "id int, name string")
     assert rows(chunks.link_names(spark.createDataFrame(documents, "doc_id long, text string"), names, shard=2)) == want
+
+
+def test_every_section_of_every_scrape_meets_the_open_version(spark, tmp_path):
+    a, b = "The tide turned at noon and the fleet left. " * 3, "Nobody kept the log of that winter, it says. " * 3
+    drift = [a[:-k] + "#" * k for k in (4, 9)]  # each near the one before, the last not near the first
+    scrapes = [
+        ("p", 1, json.dumps({"A": a, "B": b, "C": "short"})), ("p", 2, json.dumps({"A": drift[0], "B": a, "C": b})), ("p", 3, None), ("p", 4, "{broken"),
+        ("p", 5, json.dumps({"A": drift[1], "B": "  " + a.upper().replace(" ", " \n") + "[12]", "C": "short"})), ("q", 9, json.dumps({"intro": a, "sections": [{"title": "A", "text": b}]})),
+    ]
+    d = write(spark, tmp_path, wiki_text=([(p, datetime.datetime(2020, 1, k), s, a, a) for p, k, s in scrapes], "page_id string, scraped_at timestamp_ntz, sections string, intro_text string, full_text string"))
+    got = sorted((r["page_id"], r["scraped_at"].day, r["section"], r["change"]) for r in texts.queries()["source_change_similar"](spark, d).collect())
+    assert got == [
+        ("p", 1, "A", "inserted"), ("p", 1, "B", "inserted"), ("p", 2, "A", "touched"), ("p", 2, "B", "superseded"), ("p", 2, "C", "inserted"),
+        ("p", 5, "A", "superseded"), ("p", 5, "B", "touched"), ("p", 5, "C", "untouched"), ("q", 9, "A", "inserted"), ("q", 9, "intro", "inserted"),
+    ]

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import difflib
+import json
+import re
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,3 +99,62 @@ def ratio_udf(least: float = 0.95):
         return pd.Series([ratio(x, y, least) for x, y in zip(a, b)])
 
     return udf
+
+
+def read_sections(raw: str | None) -> list[tuple[str, str]]:
+    """Non-blank sections of a JSON object: name to text, or ``intro`` and a list ``sections`` of titles and texts."""
+    try:
+        got = json.loads(raw)
+    except (TypeError, ValueError):
+        return []
+    if not isinstance(got, dict):
+        return []
+    if isinstance(got.get("sections"), list):
+        parts = [s for s in got["sections"] if isinstance(s, dict)]
+        found = [("intro", got.get("intro")), *((s.get("title") or s.get("name") or "", s.get("text") or s.get("content") or "") for s in parts)]
+    else:
+        found = list(got.items())
+    return [(k or "(untitled)", v) for k, v in found if isinstance(k, str) and isinstance(v, str) and v.strip()]
+
+
+def section_changes(pages: DataFrame, shortest: int = 50, least: float = 0.95) -> DataFrame:
+    """``page_id, scraped_at, section, change``: what each scrape of ``pages(page_id, scraped_at, sections)`` does.
+
+    Every section of at least ``shortest`` characters is compared with its open version: 'inserted' (none is open),
+    'touched' (equal after normalization, or ``least`` similar; the open text stays), 'superseded' (it becomes the open
+    text). 'untouched' are open sections that a scrape lacks. Scrapes without readable sections and rows without page
+    open nothing that a later row could meet. A task holds the open texts of one page at a time.
+    """
+
+    def plain(text: str) -> str:
+        return re.sub(r"\s+", " ", re.sub(r"\[\d+\]", "", text)).strip().lower()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, open_ = None, {}
+        for batch in batches:
+            at, names, what = [], [], []
+            for i, (ident, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+                if ident is None or ident != page:
+                    page, open_ = ident, {}
+                found = read_sections(raw)
+                kept = [(k, v) for k, v in found if len(v) >= shortest]
+                got = [(k, "untouched") for k in open_ if k not in dict(kept)] if found else []
+                for k, v in kept:
+                    if k not in open_:
+                        change = "inserted"
+                    elif plain(open_[k]) == plain(v) or ratio(open_[k], v, least) >= least:
+                        change = "touched"
+                    else:
+                        change = "superseded"
+                    if change != "touched":
+                        open_[k] = v
+                    got.append((k, change))
+                at += [i] * len(got)
+                names += [k for k, _ in got]
+                what += [c for _, c in got]
+            take = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(names, pa.string()), pa.array(what, pa.string())], ["page_id", "scraped_at", "section", "change"])
+
+    rows = pages.filter(F.col("sections").isNotNull()).select("page_id", "scraped_at", "sections")
+    by_page = rows.repartition("page_id").sortWithinPartitions("page_id", "scraped_at", F.md5("sections"))
+    return by_page.mapInArrow(run, f"page_id string, scraped_at {rows.schema['scraped_at'].dataType.simpleString()}, section string, change string")

@@ -73,13 +73,8 @@ def source_change_class(spark, d):
 
 @query()
 def source_change_similar(spark, d):
-    """As before, for lead texts and with near-equal texts counted as touched; only texts that differ are compared."""
-    w = Window.partitionBy("page_id").orderBy("scraped_at", F.md5(F.coalesce("intro_text", F.lit(""))))
-    v = table(spark, d, "wiki_text").filter(F.col("page_id").isNotNull()).select("page_id", "intro_text", F.row_number().over(w).alias("v")).filter(F.col("v") <= 2).filter(F.col("intro_text").isNotNull())
-    v = v.withColumn("hash", scalars.text_hash(F.col("intro_text")))
-    differ = (F.col("old_hash") != F.col("new_hash")) & F.col("old_hash").isNotNull()
-    alike = F.coalesce(merging.ratio_udf()(F.when(differ, F.col("old_text")), F.when(differ, F.col("new_text"))) >= 0.95, F.lit(False)) & differ
-    return merging.classify_changes(v.filter("v = 1"), v.filter("v = 2"), ["page_id"], "intro_text", "hash", alike).select("page_id", "change")
+    """What each scrape of a page does to every section's open version; near-equal texts count as touched."""
+    return merging.section_changes(table(spark, d, "wiki_text"))
 
 
 _QV = "(SELECT embedding AS q FROM embeddings WHERE vec_id = (SELECT MIN(vec_id) FROM embeddings))"
