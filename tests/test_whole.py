@@ -3,7 +3,7 @@
 import datetime
 import json
 
-from tidemark.operators import chunks, ranges
+from tidemark.operators import chunks, ranges, search
 from tidemark.plans import story, texts
 
 
@@ -67,3 +67,15 @@ def test_every_section_of_every_scrape_meets_the_open_version(spark, tmp_path):
         ("p", 1, "A", "inserted"), ("p", 1, "B", "inserted"), ("p", 2, "A", "touched"), ("p", 2, "B", "superseded"), ("p", 2, "C", "inserted"),
         ("p", 5, "A", "superseded"), ("p", 5, "B", "touched"), ("p", 5, "C", "untouched"), ("q", 9, "A", "inserted"), ("q", 9, "intro", "inserted"),
     ]
+
+
+def test_terms_of_every_script(spark, tmp_path):
+    documents = [(1, "L'Équipage, naïve; ÉQUIPAGE"), (2, "第2928話でSegikは海賊"), (3, "quipage x1"), (4, None), (5, "海の賊海")]
+    d = write(spark, tmp_path, documents=(documents, "doc_id long, text string"))
+    got = {r["term"]: (r["docs"], r["uses"]) for r in texts.queries()["term_index_all"](spark, d).collect()}
+    one = dict.fromkeys(["l", "naïve", "第", "2928", "話で", "segik", "は海", "海賊", "quipage", "x1", "海の", "の賊", "賊海"], (1, 1))
+    assert got == one | {"équipage": (1, 2)}
+    df = spark.read.parquet(f"{d}/documents.parquet")
+    find = lambda q: [tuple(r) for r in search.full_text(df, "doc_id", "text", q).collect()]
+    assert find("équipage") == [(1, 2)] and find("quipage") == [(3, 1)] and find("海賊") == [(2, 1)]
+    assert find("は海賊 -équipage") == [(2, 2)] and find("l'équipage") == [(1, 3)] and find("segik or naïve") == [(1, 1), (2, 1)]

@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Scripts written without spaces, and the sign for long vowels, which belongs to no script. All are above U+0E00, which
+#: is asked first as scripts are looked up slowly.
+_SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\x{30FC}\x{FF70}"
+_UNSPACED = rf"[\x{{E00}}-\x{{10FFFF}}&&[{_SCRIPTS}]]"
+_WORD = rf"[[\p{{L}}\p{{M}}\p{{N}}&&[\x{{0}}-\x{{DFF}}]][\p{{L}}\p{{M}}\p{{N}}&&[^{_SCRIPTS}]]]+"
+#: Pairs overlap, so the pair is looked at and one character taken; a character alone is its own term.
+_PAIR = rf"(?=({_UNSPACED}{{2}}|(?<!{_UNSPACED}){_UNSPACED}(?!{_UNSPACED}))){_UNSPACED}"
+
+
 
 def cosine(vector: Column, query: list[float]) -> Column:
     """Cosine in doubles; null for null, other length or zero vectors."""
@@ -40,23 +52,41 @@ def parse_query(text: str) -> dict[str, list]:
     return {"must": must, "not": bad, "phrases": phrases}
 
 
-def inverted_index(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def terms(text: Column) -> Column:
+    """Lower-case words of letters, marks and digits; scripts written without spaces give pairs of neighbouring characters."""
+    low = F.lower(text)
+    every = F.concat(F.regexp_extract_all(low, F.lit(_WORD), 0), F.regexp_extract_all(low, F.lit(_PAIR), 1))
+    return F.when(F.octet_length(low) == F.length(low), ascii_terms(text)).otherwise(every)
+
+
+def ascii_terms(text: Column) -> Column:
+    """Runs of ASCII letters and digits only; every other character parts them."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+"), 0)
+
+
+def inverted_index(df: DataFrame, id_col: str, text_col: str, words: Callable[[Column], Column] = terms) -> DataFrame:
     """``term, id, tf``; counted inside the scan's tasks first. Cluster or bucket it by term when it is stored."""
-    words = F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(r"[a-z0-9]+"), 0))
-    return df.select(F.col(id_col).alias("id"), words.alias("term")).groupBy("term", "id").agg(F.count("*").alias("tf"))
+    return df.select(F.col(id_col).alias("id"), F.explode(words(F.col(text_col))).alias("term")).groupBy("term", "id").agg(F.count("*").alias("tf"))
 
 
 def full_text(df: DataFrame, id_col: str, text_col: str, query: str, k: int = 5) -> DataFrame:
-    """``id_col, score`` of matching rows: the summed counts of the wanted words, ties by id."""
+    """``id_col, score`` of matching rows: the summed counts of the wanted words, ties by id.
+
+    A word of several terms must also stand in the text as it is written.
+    """
     q = parse_query(query)
-    words = F.regexp_extract_all(F.lower(text_col), F.lit(r"[a-z0-9]+"), 0)
-    d = df.select(id_col, F.lower(text_col).alias("_t"), words.alias("_w"))
+    d = df.select(id_col, F.lower(text_col).alias("_t"), terms(F.col(text_col)).alias("_w"))
+
+    def has(word: str) -> Column:
+        t = terms(F.lit(word))
+        return (F.size(t) > 0) & (F.size(F.array_except(t, F.col("_w"))) == 0) & ((F.size(t) == 1) | F.col("_t").contains(word))
+
     for alternatives in q["must"]:
-        d = d.filter(F.arrays_overlap("_w", F.array(*map(F.lit, alternatives))))
+        d = d.filter(reduce(or_, map(has, alternatives)))
     for w in q["not"]:
-        d = d.filter(~F.array_contains("_w", w))
+        d = d.filter(~has(w))
     for p in q["phrases"]:
         d = d.filter(F.col("_t").contains(p))
-    wanted = [w for a in q["must"] for w in a] + [w for p in q["phrases"] for w in p.split()]
-    score = F.size(F.filter("_w", lambda w: w.isin(wanted))) if wanted else F.lit(0)
+    wanted = [w for a in q["must"] for w in a] + q["phrases"]
+    score = F.size(F.filter("_w", lambda w: F.array_contains(terms(F.lit(" ".join(wanted))), w))) if wanted else F.lit(0)
     return d.select(id_col, score.alias("score")).orderBy(F.desc("score"), id_col).limit(k)

@@ -105,6 +105,17 @@ def fts_search(spark, d):
 
 @query("""SELECT term, COUNT(*)::BIGINT AS docs, CAST(SUM(tf) AS BIGINT) AS uses FROM (SELECT doc_id, term, COUNT(*) AS tf FROM (SELECT doc_id, UNNEST(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents) GROUP BY 1, 2) GROUP BY term""")
 def term_index(spark, d):
+    return search.inverted_index(table(spark, d, "documents"), "doc_id", "text", search.ascii_terms).groupBy("term").agg(F.count("*").alias("docs"), F.sum("tf").alias("uses"))
+
+
+_UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\x{30FC}\x{FF70}]"
+
+
+@query(rf"""WITH w AS (SELECT doc_id, UNNEST(regexp_extract_all(regexp_replace(lower(text), '({_UNSPACED}+)', ' \1 ', 'g'), '[\p{{L}}\p{{M}}\p{{N}}]+')) AS w FROM documents),
+t AS (SELECT doc_id, UNNEST(CASE WHEN length(w) > 1 AND regexp_matches(w, '^{_UNSPACED}') THEN [substr(w, i, 2) FOR i IN range(1, length(w))] ELSE [w] END) AS term FROM w)
+SELECT term, COUNT(DISTINCT doc_id)::BIGINT AS docs, COUNT(*)::BIGINT AS uses FROM t GROUP BY term""")
+def term_index_all(spark, d):
+    """Terms of every script; ``term_index`` has those of ASCII characters only."""
     return search.inverted_index(table(spark, d, "documents"), "doc_id", "text").groupBy("term").agg(F.count("*").alias("docs"), F.sum("tf").alias("uses"))
 
 
