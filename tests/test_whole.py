@@ -79,3 +79,19 @@ def test_terms_of_every_script(spark, tmp_path):
     find = lambda q: [tuple(r) for r in search.full_text(df, "doc_id", "text", q).collect()]
     assert find("équipage") == [(1, 2)] and find("quipage") == [(3, 1)] and find("海賊") == [(2, 1)]
     assert find("は海賊 -équipage") == [(2, 2)] and find("l'équipage") == [(1, 3)] and find("segik or naïve") == [(1, 1), (2, 1)]
+
+
+def test_lists_keep_every_element(spark, tmp_path):
+    coc = [(2, "a", None), (1, "a", "silhouette"), (1, "a", "silhouette"), (60, "a", "silhouette"), (1000, "a", None), (60, "a", None), (3, "b", None), (None, "b", None)]
+    chapters = [(1, 1), (2, 1), (3, None), (60, 12), (1000, 1001)]
+    d = write(spark, tmp_path, coc=(coc, "chapter int, character string, note string"), chapter=(chapters, "number int, volume int"))
+    run = lambda name: rows(story.queries()[name](spark, d))
+    assert run("volume_lists") == [("a", 0, "1,12"), ("a", 1, "1001")] and run("cover_lists") == [("a", 0, "1,1,12")]
+    assert run("arc_lists") == [("a", 0, "1,2,20"), ("b", 0, "1")] and run("saga_lists") == [("a", 0, "1,5"), ("b", 0, "1")]
+
+
+def test_weeks_of_iso_years(spark, tmp_path):
+    chapters = [(datetime.date(2020, 12, 28), 10), (datetime.date(2021, 1, 3), 20), (datetime.date(2021, 1, 4), 7), (None, 9)]
+    d = write(spark, tmp_path, chapter=(chapters, "date date, num_page int"))
+    got = [{k: v for k, v in r.asDict().items() if v is not None} for r in story.queries()["pivot_year_week"](spark, d).orderBy("year").collect()]
+    assert got == [{"year": 2020, "w53": 15.0}, {"year": 2021, "w01": 7.0}]

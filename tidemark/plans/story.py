@@ -105,6 +105,40 @@ def arc_main_counts(spark, d):
     return hits.filter(F.col("n") >= 0.5 * ARC).groupBy("character").agg(F.count("*").alias("main_arcs"))
 
 
+def _blocks(df: DataFrame, item: str, name: str) -> DataFrame:
+    """Sorted lists of ``item`` per character in blocks of 1,000 numbers; repeats stay."""
+    b = df.filter(F.col(item).isNotNull()).withColumn("block", F.floor((F.col(item) - 1) / 1000))
+    return b.groupBy("character", "block").agg(F.array_join(F.array_sort(F.collect_list(item)).cast("array<string>"), ",").alias(name))
+
+
+def _blocks_sql(rows: str, item: str, name: str) -> str:
+    return f"SELECT character, CAST(floor(({item} - 1) / 1000.0) AS BIGINT) AS block, string_agg({item}::VARCHAR, ',' ORDER BY {item}) AS {name} FROM ({rows}) WHERE {item} IS NOT NULL GROUP BY 1, 2"
+
+
+@query(_blocks_sql(f"SELECT DISTINCT character, volume FROM ({_SEEN}) x JOIN chapter ON number = chapter", "volume", "volumes"))
+def volume_lists(spark, d):
+    chapters = table(spark, d, "chapter").select("number", "volume")
+    return _blocks(seen(spark, d).join(chapters, F.col("chapter") == F.col("number")).select("character", "volume").distinct(), "volume", "volumes")
+
+
+@query(_blocks_sql("SELECT character, volume FROM coc JOIN chapter ON number = chapter WHERE note = 'silhouette' AND trim(character) <> ''", "volume", "volumes"))
+def cover_lists(spark, d):
+    """Repeated volumes stay, as in ``cover_rollup``."""
+    coc = table(spark, d, "coc").filter((F.col("note") == "silhouette") & (F.trim("character") != ""))
+    return _blocks(coc.join(table(spark, d, "chapter").select("number", "volume"), F.col("chapter") == F.col("number")), "volume", "volumes")
+
+
+@query(_blocks_sql(f"SELECT DISTINCT character, arc FROM ({_SEEN}) x JOIN {_ARCS} r ON chapter BETWEEN s AND e", "arc", "arcs"))
+def arc_lists(spark, d):
+    """Arcs are numbered by their start."""
+    return _blocks(_in_ranges(spark, d, seen(spark, d), ARC, "arc").select("character", "arc").distinct(), "arc", "arcs")
+
+
+@query(_blocks_sql(f"SELECT DISTINCT character, saga FROM ({_SEEN}) x JOIN {_SAGAS} r ON chapter BETWEEN s AND e", "saga", "sagas"))
+def saga_lists(spark, d):
+    return _blocks(_in_ranges(spark, d, seen(spark, d), SAGA, "saga").select("character", "saga").distinct(), "saga", "sagas")
+
+
 def _pairs(member: str, least: int) -> str:
     return f"WITH m AS ({member}) SELECT a.v AS source, b.v AS target, COUNT(*)::BIGINT AS weight FROM m a JOIN m b ON a.g = b.g AND a.v < b.v GROUP BY 1, 2 HAVING COUNT(*) >= {least}"
 
@@ -326,6 +360,15 @@ def pivot_year_month(spark, d):
     return got.select("year", *[F.round(F.col(str(m)), 4).alias(f"m{m:02d}") for m in range(1, 13)])
 
 
+@query("""SELECT isoyear(date)::BIGINT AS year, """ + ", ".join(f"ROUND(AVG(CASE WHEN week(date) = {k} THEN num_page END), 4) AS w{k:02d}" for k in range(1, 54)) + " FROM chapter WHERE date IS NOT NULL GROUP BY 1")
+def pivot_year_week(spark, d):
+    """ISO weeks in ISO years, which differ from calendar years around New Year."""
+    c = table(spark, d, "chapter").filter(F.col("date").isNotNull())
+    c = c.select(F.extract(F.lit("YEAROFWEEK"), "date").cast("long").alias("year"), F.weekofyear("date").alias("w"), "num_page")
+    got = c.groupBy("year").pivot("w", list(range(1, 54))).agg(F.avg("num_page"))
+    return got.select("year", *[F.round(F.col(str(k)), 4).alias(f"w{k:02d}") for k in range(1, 54)])
+
+
 @query("""SELECT ROUND(SUM(num_page) / ((CAST(MAX(date) - MIN(date) AS BIGINT) * 5) // 7)::DOUBLE, 6) AS pages_per_working_day FROM chapter""")
 def pages_per_day(spark, d):
     c = table(spark, d, "chapter").agg(F.sum("num_page").alias("p"), F.datediff(F.max("date"), F.min("date")).alias("days"))
