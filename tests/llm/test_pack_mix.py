@@ -82,8 +82,32 @@ def test_mix(spark):
     most = {s: max(n for d, n in uses.items() if dict((k, q) for k, q, _ in rows)[d] == s) for s in "abc"}
     assert most["a"] == 1 and most["b"] <= 4 and most["c"] <= 5
     assert len({(x["doc_id"], x["epoch"]) for x in out}) == len(out)
-    report = {x["source"]: x for x in mix.shares(got, items, targets).collect()}
+    plan = mix.plan_of(items, targets)
+    report = {x["source"]: x for x in mix.shares(got, items, targets, plan).collect()}
     assert report["absent"]["reached_share"] == 0 and report["b"]["most_uses"] == most["b"]
-    capped = mix.shares(mix.mix(items, targets, total=1e9), items, targets)
+    plan = mix.plan_of(items, targets, 1e9)
+    capped = mix.shares(mix.mix(items, targets, plan=plan), items, targets, plan)
     assert {x["source"]: x["most_uses"] for x in capped.collect()} == {"a": 1, "b": 4, "c": 5, "absent": 0}
     assert mix.mix(items.limit(0), targets).count() == 0
+
+
+def test_mix_of_skewed_sizes(spark):
+    rows = [(1, "plaque", 24541), (2, "plaque", 195), (3, "plaque", 125), (4, "plaque", 59), (5, "plaque", 58)] + [(100 + k, "main", 400 + k) for k in range(300)] + [(900, "vast", 50_000)]
+    items = spark.createDataFrame(rows, "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("plaque", 0.03, 6), ("main", 0.96, 1), ("vast", 0.01, 2), ("absent", 0.1, 1), ("main", None, 9), (None, 0.5, 1)], "source string, target_share double, max_repeats int")
+    total = 170_000.0
+    plan = mix.plan_of(items, targets, total)
+    got = mix.mix(items, targets, plan=plan)
+    out = got.collect()
+    assert sum(x["tokens"] for x in out if x["source"] == "plaque") == 6 * (195 + 125 + 59 + 58)
+    assert abs(sum(x["tokens"] for x in out if x["source"] == "main") - min(0.96 * total, sum(n for _, s, n in rows if s == "main"))) <= 700
+    r = {x["source"]: x for x in mix.shares(got, items, targets, plan).collect()}
+    assert set(r) == {"plaque", "main", "vast", "absent"}
+    assert r["plaque"]["reason"] == "repeats used up by the records that fit" and r["plaque"]["passed_over"] == 1 and r["plaque"]["missing_tokens"] == round(0.03 * total) - 2622
+    assert r["vast"]["reason"] == "every record is larger than the demand" and r["vast"]["selected_tokens"] == 0
+    assert r["absent"]["reason"] == "source does not occur"
+    # The default total lets every source that can do so reach its share with the records that fit.
+    total, plan = mix.plan_of(items, targets)
+    assert 0 < total <= 2622 / 0.03 + 1e-6
+    balanced = mix.mix(items, targets).collect()
+    assert sum(x["tokens"] for x in balanced if x["source"] == "plaque") == pytest.approx(0.03 * total, abs=100)

@@ -68,14 +68,15 @@ def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
     return pack.fill(p7_packs(spark, folder), table(spark, folder, "pack_limits"))
 
 
-def _whole_mix(items: DataFrame, targets: DataFrame) -> DataFrame:
+def _whole_plan(items: DataFrame, targets: DataFrame) -> tuple[float, dict]:
     whole = items.agg(F.sum("tokens")).first()[0]
-    return mix.mix(items, targets, total=float(whole or 0))
+    return mix.plan_of(items, targets, total=float(whole or 0))
 
 
 def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
     """For a total as large as the corpus, where small sources end at their allowed repeats."""
-    return _whole_mix(_sized(spark, folder), table(spark, folder, "mix_targets"))
+    items, targets = _sized(spark, folder), table(spark, folder, "mix_targets")
+    return mix.mix(items, targets, plan=_whole_plan(items, targets))
 
 
 def p8_mix_balanced(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,17 +87,14 @@ def p8_mix_balanced(spark: SparkSession, folder: str) -> DataFrame:
 def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     """The shares that ``p8_mix`` reaches."""
     items, targets = _sized(spark, folder), table(spark, folder, "mix_targets")
-    return mix.shares(_whole_mix(items, targets), items, targets)
+    plan = _whole_plan(items, targets)
+    return mix.shares(mix.mix(items, targets, plan=plan), items, targets, plan)
 
 
 def p8_shares_balanced(spark: SparkSession, folder: str) -> DataFrame:
     items, targets = _sized(spark, folder), table(spark, folder, "mix_targets")
-    return mix.shares(mix.mix(items, targets), items, targets)
-
-
-def p8_shares_whole(spark: SparkSession, folder: str) -> DataFrame:
-    """``p8_shares`` by its earlier name."""
-    return p8_shares(spark, folder)
+    plan = mix.plan_of(items, targets)
+    return mix.shares(mix.mix(items, targets, plan=plan), items, targets, plan)
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,7 +137,7 @@ SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM x a JOIN x b ON a.h =
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_mix_balanced": p8_mix_balanced, "p8_shares": p8_shares, "p8_shares_balanced": p8_shares_balanced, "p8_shares_whole": p8_shares_whole, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
+    return {"p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_mix_balanced": p8_mix_balanced, "p8_shares": p8_shares, "p8_shares_balanced": p8_shares_balanced, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
 
 
 def oracle_sql() -> dict[str, str]:
