@@ -111,3 +111,16 @@ def test_mix_of_skewed_sizes(spark):
     assert 0 < total <= 2622 / 0.03 + 1e-6
     balanced = mix.mix(items, targets).collect()
     assert sum(x["tokens"] for x in balanced if x["source"] == "plaque") == pytest.approx(0.03 * total, abs=100)
+
+
+def test_bounds_equal_the_plain_recurrence():
+    r = random.Random(3)
+    for _ in range(12):
+        lengths = np.array(sorted(r.sample(range(1, 3000), 45)))
+        counts = np.array([r.choice([1, 1, 5, 100]) for _ in lengths])
+        n, s = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, counts * lengths))
+        best = [lengths[j] * n[j + 1] - s[j + 1] for j in range(45)]
+        for k in range(2, 12):
+            best = [min([best[j], *(best[i - 1] + lengths[j] * (n[j + 1] - n[i]) - (s[j + 1] - s[i]) for i in range(1, j + 1))]) for j in range(45)]
+            bounds = pack.bucket_bounds(lengths, counts, k)
+            assert len(bounds) <= k and sum(c * (bounds[np.searchsorted(bounds, x)] - x) for x, c in zip(lengths, counts)) == best[-1]

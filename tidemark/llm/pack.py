@@ -1,7 +1,8 @@
 """Filling fixed-capacity containers: optimal length buckets, and token-budget batches drawn from them.
 
 1. The lengths of all items form one histogram per capacity, at most ``capacity`` numbers, which is all the driver sees.
-2. Dynamic programming over the histogram chooses the ``buckets`` upper bounds with the least total padding.
+2. Dynamic programming over the whole histogram chooses the ``buckets`` upper bounds with the least total padding; divide
+   and conquer makes a layer of it m log m steps for m different lengths.
 3. Token-budget batches: a batch of the largest bucket left takes as many of its items as the budget holds; what budget
    remains goes to the largest smaller bucket that fits, and so on.  A batch form repeats as long as its buckets last,
    so a few hundred forms describe any number of containers.  Without the second step a bucket of items of 0.4
@@ -28,36 +29,54 @@ from pyspark.sql import functions as F
 from tidemark.session import materialize
 
 BUCKETS = 160
-#: Candidate bounds per capacity: lengths are compared after rounding up to a grid of this many steps.
-GRID = 1024
-
-
-def bucket_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS, grid: int = GRID) -> np.ndarray:
-    """Ascending upper bounds of at most ``buckets`` buckets with the least sum of (bound - length)."""
-    if not len(lengths):
-        return np.empty(0, np.int64)
-    step = max(1, -(-int(lengths.max()) // grid))
-    up = -(-lengths // step) * step
-    up = np.minimum(up, lengths.max())
-    bounds, at = np.unique(up, return_inverse=True)
-    n = np.concatenate([[0], np.cumsum(np.bincount(at, weights=counts))])
-    s = np.concatenate([[0], np.cumsum(np.bincount(at, weights=counts * lengths.astype(np.float64)))])
-    m = len(bounds)
+
+
+def _layer(before: np.ndarray, padding) -> tuple[np.ndarray, np.ndarray]:
+    """Least ``before[i - 1] + padding(i, j)`` over i <= j for every j, and the i that gives it.
+
+    The padding is a Monge cost, so the best i never falls as j rises: the middle j is settled first, and the search for
+    those on either side ends at its i.  One level of this division is one pass over at most m + 2**level candidates.
+    """
+    m = len(before)
+    best, back = np.full(m, np.inf), np.zeros(m, dtype=np.int32)
+    first, last, low, high = np.array([0]), np.array([m - 1]), np.array([0]), np.array([m - 1])
+    shifted = np.concatenate([[np.inf], before[:-1]])
+    while len(first):
+        mid = (first + last) // 2
+        end = np.minimum(high, mid)
+        n = end - low + 1
+        start = np.cumsum(n) - n
+        i = np.arange(n.sum()) - np.repeat(start - low, n)
+        cost = shifted[i] + padding(i, np.repeat(mid, n))
+        least = np.minimum.reduceat(cost, start)
+        hit = np.nonzero(cost == np.repeat(least, n))[0]
+        pick = i[hit[np.searchsorted(hit, start)]]
+        best[mid], back[mid] = least, pick
+        left, right = first < mid, mid < last
+        first, last = np.concatenate([first[left], mid[right] + 1]), np.concatenate([mid[left] - 1, last[right]])
+        low, high = np.concatenate([low[left], pick[right]]), np.concatenate([pick[left], high[right]])
+    return best, back
+
+
+def bucket_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    """Ascending upper bounds of at most ``buckets`` buckets with the least sum of (bound - length); ``lengths`` ascend."""
+    m = len(lengths)
     if m <= buckets:
-        return bounds
-    # cost[i, j]: padding when bounds i .. j-1 share the bound j-1
-    cost = bounds[None, :] * (n[None, 1:] - n[:-1, None]) - (s[None, 1:] - s[:-1, None])
-    cost = np.where(np.arange(m)[:, None] <= np.arange(m)[None, :], cost, np.inf)
-    best, back = cost[0].copy(), np.zeros((buckets, m), dtype=np.int32)
-    for k in range(1, buckets):
-        total = np.concatenate([[np.inf], best[:-1]])[:, None] + cost
-        back[k] = np.argmin(total, axis=0)
-        best = total[back[k], np.arange(m)]
-    out, j, k = [], m - 1, buckets - 1
-    while j >= 0:
-        out.append(bounds[j])
-        j = int(back[k, j]) - 1 if k else -1
-        k -= 1
+        return lengths.astype(np.int64)
+    bounds = lengths.astype(np.int64)
+    n = np.concatenate([[0], np.cumsum(counts.astype(np.int64))])
+    s = np.concatenate([[0], np.cumsum(counts.astype(np.int64) * bounds)])
+    padding = lambda i, j: (bounds[j] * (n[j + 1] - n[i]) - (s[j + 1] - s[i])).astype(np.float64)
+    every = np.arange(m)
+    best, backs = padding(np.zeros(m, dtype=np.int64), every), []
+    for _ in range(1, buckets):
+        best, back = _layer(best, padding)
+        backs.append(back)
+    out, j = [], m - 1
+    for back in [*reversed(backs), None]:
+        if j >= 0:
+            out.append(bounds[j])
+            j = int(back[j]) - 1 if back is not None else -1
     return np.array(out[::-1])
 
 
@@ -111,7 +130,7 @@ def pack(items: DataFrame, limits: DataFrame, id_col: str = "doc_id", buckets: i
 
     ``limits(pack_name, capacity_tokens)`` is a configuration table of a few rows.
     """
-    caps = {r["pack_name"]: int(r["capacity_tokens"]) for r in limits.filter(F.col("capacity_tokens") >= 1).limit(1000).collect()}
+    caps = {r["pack_name"]: int(r["capacity_tokens"]) for r in limits.filter(F.col("capacity_tokens") >= 1).collect()}
     spark = items.sparkSession
     base = items.select(F.col(id_col).alias("id"), "tokens").filter(F.col("tokens") > 0)
     table = F.broadcast(spark.createDataFrame(list(caps.items()) or [("", 1)], "pack_name string, capacity int"))
