@@ -28,9 +28,21 @@ def test_cover(text, want):
 def test_dictionary_protects_delimiters(spark):
     rows = [("f", 1, 'X, "Tide; Tally Company"'), ("f", 2, "Tide; Tally Company (old); B"), ("f", 3, "Tide; Tally Companyx"), ("f", 4, None), ("f", 5, ""), ("f", 2, "Tide; Tally Company (old); B")]
     df = spark.createDataFrame(rows, "field string, rec_id long, text string").withColumn("item", F.lit(1)).withColumn("pos", F.lit("x"))
-    got = sorted(tuple(r) for r in packed_values.unpack(df, shard=1).collect())
+    got = sorted(tuple(r) for r in packed_values.unpack(df).collect())
+    # The dictionary parted over tasks, as one that outgrows the bound is.
+    assert got == sorted(tuple(r) for r in packed_values.unpack(df, most=0, shard=1).collect())
     assert got == sorted([("f", 1, 1, "X", 2), ("f", 1, 2, "Tide; Tally Company", 2), *[("f", 2, 1, "Tide; Tally Company (old)", 2), ("f", 2, 2, "B", 2)] * 2, ("f", 3, 1, "Tide", 2), ("f", 3, 2, "Tally Companyx", 2)])
-    assert packed_values.unpack(df.limit(0)).count() == 0
+    assert packed_values.unpack(df.limit(0)).count() == 0 and packed_values.unpack(df.limit(0), most=0).count() == 0
+
+
+def test_parted_dictionary_equals_one_automaton(spark):
+    words = [f"Rope{k}, Sail and Tar {j}" for k in range(6) for j in range(4)] + ["Rope1; Nets, Hooks", "Tar / Pitch; Co", "Rope1"]
+    rows = [("f", k, "; ".join(words[(k * i) % len(words)] for i in range(1, 4)) + (" (former), B" if k % 3 else "[2] / C")) for k in range(200)]
+    df = spark.createDataFrame(rows, "field string, rec_id long, text string")
+    known = spark.createDataFrame([(w,) for w in words] + [(None,), (" ",)], "value string")
+    one = sorted(tuple(r) for r in packed_values.unpack(df, known).collect())
+    assert one == sorted(tuple(r) for r in packed_values.unpack(df, known, most=3, shard=5).collect())
+    assert ("f", 1, 1, "Rope0, Sail and Tar 1") in {r[:4] for r in one}
 
 
 @pytest.mark.parametrize(
@@ -61,6 +73,15 @@ def test_half_is_rounded_up():
     assert units.amounts("0.05 cm", units.Units("height", ROWS), None) == [1]
 
 
+def test_exponents_and_the_dimension_of_the_field():
+    length, area, volume = units.Units("height", ROWS), units.Units("height", ROWS, exponent=2), units.Units("height", ROWS, exponent=3)
+    assert length.decompose("m²") is length.decompose("square metre") is length.decompose("cm^3") is None
+    assert area.decompose("cm²") == (100, "centimetre") and area.decompose("sq m") == area.decompose("square metres") == area.decompose("m^2") == (10**6, "metre")
+    assert area.decompose("km2")[0] == area.decompose("square kilometre")[0] == 10**12 and volume.decompose("cubic millimetre")[0] == 1
+    assert volume.decompose("dm³") == (100**3, "metre") and area.decompose("metre") is None
+    assert units.amounts("3 m² ; 170 cm ; 2 m³", length, None) == [1700]
+
+
 def test_units_frame(spark):
     factors = spark.createDataFrame(FACTORS, "unit string, quantity string, base_unit string, symbol string, factor_num long, factor_den long")
     sources = spark.createDataFrame([("s", "height", "foot")], "source string, quantity string, default_unit string")

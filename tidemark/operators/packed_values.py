@@ -5,9 +5,11 @@ multi-pattern automaton (Aho-Corasick) finds all of them in a field in one pass;
 delimiter positions then picks the cheapest cover of the field by known whole values and by pieces without delimiters.
 A delimiter inside quotation marks, balanced parentheses or a digit group never separates.
 
-The dictionary is learned from all rows: a value that somewhere stands in quotation marks is a whole value.  It is cut
-into shards of at most ``SHARD`` values, one automaton each; matches of the shards accumulate in a column without a
-shuffle, so no task ever holds more than one shard, however large the dictionary grows.
+The dictionary is learned from all rows: a value that somewhere stands in quotation marks is a whole value; a table of
+known values can be added.  A dictionary of at most ``MOST`` values and ``MOST_CHARS`` characters is one automaton that
+every task gets.  A larger one is parted by the hash of the values' heads (the text up to the first delimiter), with one
+automaton per part; a text goes to the parts of its own pieces' heads, once each, so every row is read once, whatever the
+size of the dictionary.  A part is spread over ``SPREAD`` tasks, as one head may stand in a third of all texts.
 
 Defined results: null or blank fields give no row; empty values are left out of the count; a quotation mark or a
 parenthesis that never closes is an ordinary character; equal rows give equal values again; other columns of the input
@@ -23,8 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Values per automaton.
-SHARD = 50_000
+from tidemark.session import materialize
+
+#: Bounds of a dictionary that is sent to every task; beyond either it is parted.
+MOST, MOST_CHARS = 100_000, 5_000_000
+#: Values per part, and tasks that share a part.
+SHARD, SPREAD = 50_000, 8
 #: Cost of a known whole value and of an unknown piece in a cover.
 KNOWN, UNKNOWN = 0.5, 1.0
 
@@ -145,52 +151,106 @@ def whole_values(fields: DataFrame) -> DataFrame:
     return fields.filter(F.col("text").rlike('["“]')).select("text").mapInArrow(run, "value string").distinct()
 
 
-def unpack(fields: DataFrame, dictionary: DataFrame | None = None, shard: int = SHARD) -> DataFrame:
+def unpack(fields: DataFrame, dictionary: DataFrame | None = None, most: int = MOST, shard: int = SHARD) -> DataFrame:
     """``field, rec_id, pos, item, n_items`` for ``fields(field, rec_id, text)``; ``dictionary(value)`` adds known values."""
     fields = fields.select("field", F.col("rec_id").cast("long"), "text").filter(F.col("text").isNotNull())
     values = whole_values(fields)
     if dictionary is not None:
         values = values.unionByName(dictionary.select("value").filter(F.trim("value") != "")).distinct()
-    values = values.cache()
-    shards = max(1, -(-values.count() // shard))
-    marked = fields.withColumn("known", F.expr("cast(array() as array<struct<a: int, b: int>>)"))
-    for s in range(shards):
-        words = [r["value"] for r in values.filter(F.pmod(F.xxhash64("value"), F.lit(shards)) == s).collect()]
-        if words:
-            marked = marked.mapInArrow(_mark(fields.sparkSession.sparkContext.broadcast(sorted(words))), marked.schema)
-    values.unpersist()
+    values = materialize(values, "dictionary")
+    n, chars = values.agg(F.count("*"), F.coalesce(F.sum(F.length("value")), F.lit(0))).first()
+    if n <= most and chars <= MOST_CHARS:
+        words = fields.sparkSession.sparkContext.broadcast(sorted(r["value"] for r in values.collect()))
+        return fields.mapInArrow(_cover_with(lambda: _automaton(words.value)), _OUT)
+    spans = _spans(fields.select("text").distinct(), values, max(1, -(-n // shard)))
+    # A text that many rows bear: its spans meet them on several tasks.
+    spread = F.pmod(F.xxhash64("rec_id"), F.lit(SPREAD)).cast("int")
+    known = spans.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return fields.withColumn("_s", spread).join(known, ["text", "_s"], "left").select("field", "rec_id", "text", "known").mapInArrow(_cover_with(None), _OUT)
+
+
+_OUT = "field string, rec_id long, pos int, item string, n_items int"
+
+
+def _automaton(words: list[str]):
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for w in words:
+        automaton.add_word(w, len(w))
+    if words:
+        automaton.make_automaton()
+    return automaton if words else None
+
+
+def _found(automaton, text: str) -> list[tuple[int, int]]:
+    return [(end + 1 - n, end + 1) for end, n in automaton.iter(text)] if automaton is not None else []
+
+
+def _cover_with(automaton):
+    """Covers of (field, rec_id, text); known spans come from the automaton, or else from a fourth column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = automaton() if automaton else None
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for field, rec, text, known in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                items = cover(text, [(k["a"], k["b"]) for k in known or ()])
+            given = None if automaton else batch.column(3).to_pylist()
+            for k, (field, rec, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
+                items = cover(text, _found(search, text) if automaton else [(x["a"], x["b"]) for x in given[k] or ()])
                 for pos, item in enumerate(items, 1):
                     for o, v in zip(out, (field, rec, pos, item, len(items))):
                         o.append(v)
             types = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types)], ["field", "rec_id", "pos", "item", "n_items"])
 
-    return marked.mapInArrow(run, "field string, rec_id long, pos int, item string, n_items int")
+    return run
 
 
-def _mark(words):
-    """Adds to ``known`` the spans where the automaton over ``words`` finds one of them."""
+def heads(text: str) -> list[str]:
+    """The pieces between delimiters, without outer white space."""
+    stops = delimiters(text)
+    return [text[a:b].strip() for a, b in zip([0, *[e for _, e in stops]], [*[s for s, _ in stops], len(text)])]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
 
-        automaton = ahocorasick.Automaton()
-        for w in words.value:
-            automaton.add_word(w, len(w))
-        automaton.make_automaton()
-        for batch in batches:
-            known = batch.column(3).to_pylist()
-            for spans, text in zip(known, batch.column(2).to_pylist()):
-                spans.extend({"a": end + 1 - n, "b": end + 1} for end, n in automaton.iter(text))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(known, batch.schema.field(3).type)], schema=batch.schema)
+def _spans(texts: DataFrame, values: DataFrame, parts: int) -> DataFrame:
+    """``text, known``: where values of a dictionary in ``parts`` parts stand in the distinct ``texts(text)``."""
 
-    return run
+    def keyed(pick):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                whole = batch.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pick(t) for t in whole], pa.list_(pa.string()))], ["word", "heads"])
+
+        return run
+
+    part = F.pmod(F.xxhash64("head"), F.lit(parts)).cast("int").alias("part")
+    mine = F.pmod(F.xxhash64("word"), F.lit(SPREAD)).cast("int").alias("spread")
+    rows = texts.select("text").mapInArrow(keyed(lambda t: sorted(set(heads(t)))), "word string, heads array<string>")
+    rows = rows.select("word", F.explode("heads").alias("head")).select(part, mine, F.lit(1).alias("kind"), "word").distinct()
+    dictionary = values.mapInArrow(keyed(lambda t: heads(t)[:1]), "word string, heads array<string>")
+    dictionary = dictionary.select("word", F.explode("heads").alias("head")).select(part, F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("spread"), F.lit(0).alias("kind"), "word")
+    sent = dictionary.unionByName(rows).repartition("part", "spread").sortWithinPartitions("part", "spread", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, words, automaton = None, [], None
+        for batch in batches:
+            texts_, known = [], []
+            for p, s, kind, word in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if (p, s) != at:
+                    at, words, automaton = (p, s), [], None
+                if not kind:
+                    words.append(word)
+                    continue
+                if words:
+                    automaton, words = _automaton(words), []
+                found = _found(automaton, word)
+                if found:
+                    texts_.append(word)
+                    known.append([{"a": a, "b": b} for a, b in found])
+            yield pa.RecordBatch.from_arrays([pa.array(texts_, pa.string()), pa.array(known, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["text", "known"])
+
+    got = sent.mapInArrow(run, "text string, known array<struct<a: int, b: int>>")
+    return got.groupBy("text").agg(F.flatten(F.collect_list("known")).alias("known"))
 
 
 def packed_fields(detail: DataFrame, affiliation: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Quantities recorded in different units: every stated amount in base units.
 
-A unit string ("million B", "cm", "mil. berries", "K Sh") is segmented by dynamic programming over three tries: scale
-and metric prefixes, unit roots, and endings (plural, exponent).  A decomposition is a path prefix* root? ending* that
-covers the string; ambiguous ones ("M" is metre or million, "m" metre or milli, "B" berry or billion) are scored with
-the prior of each morpheme in the field's dimension, and the likeliest wins.
+A unit string ("million B", "cm", "mil. berries", "K Sh", "sq m") is segmented by dynamic programming over tries of
+scales and metric prefixes, unit roots, plurals and exponents.  A decomposition is a path power? prefix* root? plural?
+exponent? that covers the string; ambiguous ones ("M" is metre or million, "m" metre or milli, "B" berry or billion) are
+scored with the prior of each morpheme in the field's dimension, and the likeliest wins.  An exponent raises the unit
+with its prefix, and counts against the dimension of the field: a height in square metres is no height.
 
 Defined results: null or blank fields, and fields without a number outside remarks, give no amount; equal rows give equal
 amounts again; a number followed by an unknown unit is no amount; amounts without unit in a record whose source has no
@@ -33,7 +34,9 @@ WRITINGS = {
     "inches": "inch", '"': "inch", "″": "inch", "''": "inch", "′′": "inch", "”": "inch", "feet": "foot", "'": "foot", "′": "foot", "’": "foot",
     "B": "berry", "berries": "berry", "belly": "berry", "bellies": "berry", "ベリー": "berry", "￥": "berry", "センチ": "centimetre", "メートル": "metre",
 }
-ENDINGS = ("s", "es", ".", "²", "³", "^2", "^3")
+PLURALS = ("s", "es")
+EXPONENTS = {"²": 2, "³": 3, "^2": 2, "^3": 3, "**2": 2, "**3": 3, "2": 2, "3": 3}
+POWERS = {"square": 2, "sq": 2, "cubic": 3, "cu": 3}
 #: Log-priors by field. What is not listed has 0; a scale cannot stand in a height.
 PRIORS = {
     "height": {("scale", "*"): -20.0, ("root", "M"): -0.5, ("prefix", "m"): -0.5, ("prefix", "c"): -0.2},
@@ -41,6 +44,8 @@ PRIORS = {
 }
 #: A metric root that is written with a prefix of its own is a length in one piece: fewer morphemes are likelier.
 PER_MORPHEME = -1.0
+#: What a unit of another dimension than the field's costs, and the score that a decomposition must exceed.
+OTHER_DIMENSION, LEAST_SCORE = -20.0, -15.0
 
 
 class Trie:
@@ -66,16 +71,18 @@ class Trie:
 class Units:
     """Decomposes unit strings of one quantity."""
 
-    def __init__(self, quantity: str, factors: list[dict]) -> None:
+    def __init__(self, quantity: str, factors: list[dict], exponent: int = 1) -> None:
+        """``exponent``: the dimension of the field, 1 for lengths and money, 2 for an area stated in units of length."""
         own = [f for f in factors if f["quantity"] == quantity and f["factor_den"]]
-        self.quantity = quantity
+        self.quantity, self.exponent = quantity, exponent
         self.factor = {f["unit"]: Fraction(f["factor_num"], f["factor_den"]) for f in own}
         roots = {f["unit"]: f["unit"] for f in own if " " not in f["unit"]} | {f["symbol"]: f["unit"] for f in own if f["symbol"]}
         roots |= {w: u for w, u in WRITINGS.items() if u in self.factor}
         self.roots = roots | {w.capitalize(): u for w, u in roots.items() if len(w) > 2 and w.isascii()}
         self.scales = SCALES if quantity == "bounty" else {}
         self.prefixes = PREFIXES if "metre" in self.factor else {}
-        self.tries = {"root": Trie(self.roots), "scale": Trie(self.scales | {w.capitalize(): v for w, v in self.scales.items() if len(w) > 2}), "prefix": Trie(self.prefixes), "ending": Trie(ENDINGS)}
+        scales = self.scales | {w.capitalize(): v for w, v in self.scales.items() if len(w) > 2}
+        self.tries = {"root": Trie(self.roots), "scale": Trie(scales), "prefix": Trie(self.prefixes), "plural": Trie(PLURALS), "exponent": Trie(EXPONENTS), "power": Trie(POWERS)}
         self.seen: dict[str, tuple[Fraction, str | None] | None] = {}
 
     def _prior(self, kind: str, word: str) -> float:
@@ -90,34 +97,38 @@ class Units:
         return self.seen[text]
 
     def _search(self, text: str) -> tuple[Fraction, str | None] | None:
-        # State at a position: 0 before the root, 1 right after a metric prefix, 2 after the root, 3 after an ending.
-        best: dict[tuple[int, int], tuple[float, Fraction, str | None]] = {(0, 0): (0.0, Fraction(1), None)}
+        # Stages at a position: 0 start or scales, 1 a power word, 2 a metric prefix, 3 the root, 4 a plural, 5 an exponent.
+        # The exponent is part of the state, as are the scale (never raised) and the unit with its prefix (raised at the end).
+        best: dict[tuple[int, int, int], tuple[float, Fraction, Fraction, str | None]] = {(0, 0, 1): (0.0, Fraction(1), Fraction(1), None)}
         for at in range(len(text)):
-            for state in range(3):
-                if (at, state) not in best:
-                    continue
-                score, factor, unit = best[at, state]
+            for (_, stage, power), (score, scale, factor, unit) in [x for x in best.items() if x[0][0] == at]:
                 steps = []
-                if state == 0:
-                    steps += [("scale", w, 0, Fraction(self.scales.get(w, self.scales.get(w.lower(), 1))), None) for w in self.tries["scale"].matches(text, at)]
-                    steps += [("prefix", w, 1, self.prefixes[w], None) for w in self.tries["prefix"].matches(text, at)]
-                if state < 2:
-                    for w in self.tries["root"].matches(text, at):
-                        u = self.roots[w]
-                        if state == 0 or u == "metre":
-                            steps.append(("root", w, 2, self.factor[u], u))
-                if state == 2:
-                    steps += [("ending", w, 3, Fraction(1), unit) for w in self.tries["ending"].matches(text, at) if w in ("s", "es")]
-                for kind, w, to, f, u in steps:
-                    got = (score + self._prior(kind, w), factor * f, u or unit)
-                    key = (at + len(w), to)
+                if stage == 0:
+                    steps += [("scale", w, 0, 1, scale * self.scales.get(w, self.scales.get(w.lower(), 1)), factor, unit) for w in self.tries["scale"].matches(text, at)]
+                    steps += [("power", w, 1, POWERS[w], scale, factor, unit) for w in self.tries["power"].matches(text, at)]
+                if stage < 2:
+                    steps += [("prefix", w, 2, power, scale, self.prefixes[w], unit) for w in self.tries["prefix"].matches(text, at)]
+                if stage < 3:
+                    roots = [(w, self.roots[w]) for w in self.tries["root"].matches(text, at)]
+                    steps += [("root", w, 3, power, scale, factor * self.factor[u], u) for w, u in roots if stage < 2 or u == "metre"]
+                if stage == 3:
+                    steps += [("plural", w, 4, power, scale, factor, unit) for w in self.tries["plural"].matches(text, at)]
+                if stage in (3, 4) and power == 1:
+                    steps += [("exponent", w, 5, EXPONENTS[w], scale, factor, unit) for w in self.tries["exponent"].matches(text, at)]
+                for kind, w, to, raised, by, f, u in steps:
+                    got = (score + self._prior(kind, w), by, f, u)
+                    key = (at + len(w), to, raised)
                     if key not in best or got[0] > best[key][0]:
                         best[key] = got
-        ends = [best[len(text), s] for s in (0, 2, 3) if (len(text), s) in best]
+        ends = []
+        for (at, stage, power), (score, scale, factor, unit) in best.items():
+            if at == len(text) and stage in (0, 3, 4, 5):
+                fits = unit is None or power == self.exponent
+                ends.append((score + (0.0 if fits else OTHER_DIMENSION), scale * factor**power, unit))
         if not text or not ends:
             return None
         top = max(ends, key=lambda e: e[0])
-        return (top[1], top[2]) if top[0] > -15 else None
+        return (top[1], top[2]) if top[0] > LEAST_SCORE else None
 
 
 _REMARKS = re.compile(r"[(（][^()（）]*[)）]|\[[^\]]*\]")
@@ -148,8 +159,8 @@ def amounts(text: str | None, units: Units, default: tuple[Fraction, str | None]
         return out
     for part in re.split(r"[;；\n\r]+", text):
         part = _REMARKS.sub(" ", part)
-        # Prime marks are kept from the compatibility form, which writes them as repeated single primes.
-        part = "".join(c if c in "\u2032\u2033" else unicodedata.normalize("NFKC", c) for c in part)
+        # Prime marks and raised digits are kept from the compatibility form, which writes them as others.
+        part = "".join(c if c in "\u2032\u2033²³" else unicodedata.normalize("NFKC", c) for c in part)
         numbers = list(_NUMBER.finditer(part))
         if not numbers:
             continue
@@ -193,10 +204,11 @@ def amounts(text: str | None, units: Units, default: tuple[Fraction, str | None]
 def to_base(fields: DataFrame, unit_factors: DataFrame, source_units: DataFrame) -> DataFrame:
     """``field, rec_id, pos, base_value`` for ``fields(field, rec_id, text, source)``.
 
-    Both tables are configuration of a few rows (units and sources); rows of ``fields`` never leave their task.
+    Both tables are configuration (one row per unit, one per source and quantity); rows of ``fields`` never leave their
+    task.
     """
-    factors = [r.asDict() for r in unit_factors.limit(10_000).collect()]
-    defaults = [r.asDict() for r in source_units.limit(10_000).collect()]
+    factors = [r.asDict() for r in unit_factors.collect()]
+    defaults = [r.asDict() for r in source_units.collect()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units: dict[str, Units] = {}
