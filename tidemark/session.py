@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+#: Tables written by ``materialize`` that are still there, with their sessions.
+_WRITTEN: dict[str, SparkSession] = {}
 
 
 def session(app: str = "tidemark", cpus: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -53,14 +55,41 @@ def scratch_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts the lineage as a checkpoint does, but columnar and compressed, and a lost executor only costs a re-read.
+    Cuts the lineage as a checkpoint does, but columnar and compressed, and a lost executor only costs a re-read.  The
+    table goes with ``discard``, or when the process ends.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if path.startswith("file:"):
-        atexit.register(shutil.rmtree, path.split("file://")[-1], True)
-    return spark.read.schema(df.schema).parquet(path)
+    if not _WRITTEN:
+        atexit.register(_discard_all)
+    _WRITTEN[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``materialize`` wrote for ``df``; nothing may read it any more."""
+    path = getattr(df, "_scratch", None)
+    if path in _WRITTEN:
+        _delete(_WRITTEN.pop(path), path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _discard_all() -> None:
+    for path, spark in list(_WRITTEN.items()):
+        try:
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001 - the session may be gone; local files are deleted without it
+            if path.startswith("file:"):
+                shutil.rmtree(path.split("file://")[-1], True)
+    _WRITTEN.clear()
 
 
 def default_data_dir() -> str:
