@@ -87,8 +87,9 @@ def _discard_all() -> None:
         try:
             _delete(spark, path)
         except Exception:  # noqa: BLE001 - the session may be gone; local files are deleted without it
-            if path.startswith("file:"):
-                shutil.rmtree(path.split("file://")[-1], True)
+            local = path.removeprefix("file://")
+            if "://" not in local:
+                shutil.rmtree(local, True)
     _WRITTEN.clear()
 
 
