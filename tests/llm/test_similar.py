@@ -63,3 +63,30 @@ def test_lists_are_balanced():
     c = similar.balanced_centroids(u, 40, 4096)
     sizes = np.bincount(np.argmax(u @ c.T, axis=1), minlength=len(c))
     assert sizes.max() < 10 * 40 and len(c) >= 3000 / 40
+
+
+def test_the_walk_finds_the_nearest_centroids():
+    v = vectors(3400, seed=9)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    order = np.random.default_rng(1).permutation(len(v))
+    c, x = v[order[:3000]], v[order[3000:]]
+    top, cos = similar.CentroidGraph(c).nearest(x, 5)
+    want = np.argsort(-(x @ c.T), axis=1)[:, :5]
+    assert np.mean([len(set(a) & set(b)) / 5 for a, b in zip(top, want)]) >= 0.95
+    assert (np.diff(cos, axis=1) <= 1e-6).all()
+    one, _ = similar.CentroidGraph(c[:1]).nearest(x, 5)
+    assert one.shape == (400, 1)
+
+
+def test_lists_that_outgrow_the_graph(spark, monkeypatch):
+    """Six lists for 3,000 vectors: each is parted again, and the result stays as good."""
+    monkeypatch.setattr(similar, "MAX_LISTS", 6)
+    monkeypatch.setattr(similar, "SUB_SAMPLE", 100)
+    x = vectors(3000)
+    df = spark.createDataFrame([(f"v{i}", v.tolist()) for i, v in enumerate(x)], "vid string, e array<float>")
+    top, _ = exact(x, 5)
+    mine = {}
+    for r in similar.knn(df, "vid", "e", dim=DIM, list_size=100, block=200).collect():
+        mine.setdefault(int(r["id"][1:]), set()).add(int(r["neighbour"][1:]))
+    assert all(len(n) == 5 for n in mine.values()) and len(mine) == 3000
+    assert np.mean([len(mine[i] & set(top[i])) / 5 for i in range(len(x))]) >= 0.9

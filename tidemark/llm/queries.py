@@ -45,14 +45,18 @@ def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_items(_items(spark, folder), distinct=True)
 
 
+def _nearest(spark: SparkSession, folder: str, min_similarity: float = -1.0) -> DataFrame:
+    """One setting of the index for both results."""
+    return similar.knn(table(spark, folder, "wiki_chunks"), "chunk_id", "embedding", k=5, min_similarity=min_similarity)
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    """With a floor on the similarity few lists have to be searched: near vectors lie near the same centroids."""
-    near = similar.knn(table(spark, folder, "wiki_chunks"), "chunk_id", "embedding", k=5, min_similarity=0.80, probes=3, postings=2, bits=16)
+    near = _nearest(spark, folder, 0.80)
     return near.select(F.least("id", "neighbour").alias("chunk_a"), F.greatest("id", "neighbour").alias("chunk_b")).distinct()
 
 
 def p6_knn(spark: SparkSession, folder: str) -> DataFrame:
-    near = similar.knn(table(spark, folder, "wiki_chunks"), "chunk_id", "embedding", k=5, probes=12, postings=3)
+    near = _nearest(spark, folder)
     return near.select(F.col("id").alias("chunk_id"), "neighbour", F.round("similarity", 2).alias("similarity"), "rank")
 
 

@@ -2,17 +2,22 @@
 
 Fit.     A documented, bounded sample (``SAMPLE`` vectors, chosen by the hash of the id) is split by recursive k-means
          until every leaf stands for about ``list_size`` vectors; leaves are the centroids, at most ``MAX_LISTS``.
-Graph.   Centroids are searched through an in-memory graph of two layers: sqrt(K) pivots, each with edges to the
-         centroids near it.  A search enters at its best pivots and scores only their edges.  The graph is at most
-         ``MAX_LISTS * dim`` floats (6 MB at 384 dimensions), so shipping it to the executors is bounded.
+Graph.   Centroids are searched through an in-memory graph: each has edges to the ``DEGREE`` centroids nearest to it.  A
+         search enters at the best of sqrt(K) entry centroids and walks from neighbour to neighbour: it expands the best
+         centroids not yet expanded, as long as they are among the best ``WIDTH`` met so far.  The graph is at most
+         ``MAX_LISTS * dim`` floats (25 MB at 384 dimensions), so shipping it to the executors is bounded.
 Index.   Every row is indexed.  A vector near the border of several lists is replicated: it is posted to each of its
          ``postings`` nearest lists whose centroid distance is within ``ratio`` times the nearest one.
 Search.  The same distance ratio prunes the lists that a vector looks into, up to ``probes``.  As queries and postings
          are the same vectors, a row travels once to each list that it probes and carries a flag for posting.
-         Scores inside a list are one matrix product.  A list with over ``block`` postings is cut into blocks by hash,
+         Scores inside a list are one matrix product.
+Growth.  A list that has more than ``block`` postings (more vectors than the bounded graph can tell apart) gets lists of
+         its own: k-means on a bounded sample of it, and every row of the list goes on to the sub-lists near it, by the
+         same rules.  Only a sub-list that cannot be told apart further (near-equal vectors) is cut into blocks by hash,
          and its queries visit each block, so no task holds more than one block.
 Copies.  Equal vectors are searched once.  Each copy gets up to k other copies (all are equally near) and then the
-         neighbours of the group, so a group of copies of any size costs k rows per member.
+         neighbours of the group, so a group of copies of any size costs k rows per member.  Equality goes by a 64-bit
+         hash of the code; a second hash tells whether it ever met two codes, and then the first is salted anew.
 
 Vectors travel as 16-bit (exact search, error about 1e-6) or 8-bit integers (error about 5e-4).
 
@@ -32,10 +37,14 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
-SAMPLE = 32768
-MAX_LISTS = 4096
-LIST_SIZE = 256
+SAMPLE = 65536
+MAX_LISTS = 16384
+LIST_SIZE = 1024
 BLOCK = 8192
+#: Sampled vectors per list of too many vectors, and the most sub-lists that it gets.
+SUB_SAMPLE, MAX_SUB = 2048, 128
+#: Edges per centroid; the best centroids met so far among which a search goes on, and those expanded at a time.
+DEGREE, WIDTH, BEAM = 32, 32, 8
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -74,32 +83,57 @@ def balanced_centroids(x: np.ndarray, leaf: int, limit: int, seed: int = 7) -> n
 
 
 class CentroidGraph:
-    """Pivots over centroids; ``nearest`` walks pivot -> edges and returns the best centroids."""
+    """Nearest-neighbour graph over centroids; ``nearest`` walks it."""
 
-    def __init__(self, centroids: np.ndarray, entries: int = 3) -> None:
+    def __init__(self, centroids: np.ndarray) -> None:
         self.centroids, k = centroids, len(centroids)
-        p = max(1, math.isqrt(k))
-        self.pivots = kmeans(centroids, p, 5, np.random.default_rng(3))[0] if p > 1 else centroids[:1]
-        edges = min(k, max(64, 8 * math.ceil(k / p)))
-        self.edges = np.argsort(-(self.pivots @ centroids.T), axis=1, kind="stable")[:, :edges]
-        self.entries = min(entries, p)
+        degree, p = min(DEGREE, k - 1), max(1, math.isqrt(k))
+        edges = []
+        for at in range(0, k, 1024):
+            near = centroids[at : at + 1024] @ centroids.T
+            near[np.arange(len(near)), np.arange(at, at + len(near))] = -2.0
+            edges.append(np.argpartition(-near, max(0, degree - 1), axis=1)[:, :degree])
+        self.edges = np.concatenate(edges)
+        pivots = kmeans(centroids, p, 5, np.random.default_rng(3))[0] if p > 1 else centroids[:1]
+        self.entries = np.unique(np.argmax(pivots @ centroids.T, axis=1))
 
     def nearest(self, x: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``m`` best centroids of each row, best first, with their cosines."""
-        score = np.full((len(x), len(self.centroids)), -2.0, dtype=np.float32)
-        enter = np.argsort(-(x @ self.pivots.T), axis=1, kind="stable")[:, : self.entries]
-        for e in range(self.entries):
-            for p in np.unique(enter[:, e]):
-                rows = np.nonzero(enter[:, e] == p)[0]
-                edge = self.edges[p]
-                score[rows[:, None], edge[None, :]] = x[rows] @ self.centroids[edge].T
-        m = min(m, len(self.centroids))
+        k = len(self.centroids)
+        m, width = min(m, k), min(max(m, WIDTH), k)
+        score = np.full((len(x), k), -2.0, dtype=np.float32)
+        fresh = np.ones((len(x), k), dtype=bool)
+        score[:, self.entries] = x @ self.centroids[self.entries].T
+        going = np.arange(len(x))
+        while len(going) and self.edges.shape[1]:
+            open_ = np.where(fresh[going], score[going], -2.0)
+            pick = np.argpartition(-open_, min(BEAM, k) - 1, axis=1)[:, :BEAM]
+            value = np.take_along_axis(open_, pick, 1)
+            floor = -np.partition(-score[going], width - 1, axis=1)[:, width - 1 : width]
+            good = (value > -2.0) & (value >= floor)
+            rows, nodes = going[np.nonzero(good)[0]], pick[good]
+            order = np.argsort(nodes, kind="stable")
+            rows, nodes = rows[order], nodes[order]
+            fresh[rows, nodes] = False
+            edge = np.concatenate([[0], np.nonzero(np.diff(nodes))[0] + 1, [len(nodes)]]) if len(nodes) else [0]
+            for a, b in zip(edge[:-1], edge[1:]):
+                to, who = self.edges[nodes[a]], rows[a:b]
+                score[who[:, None], to[None, :]] = x[who] @ self.centroids[to].T
+            going = going[good.any(axis=1)]
         top = np.argpartition(-score, m - 1, axis=1)[:, :m]
         cos = np.take_along_axis(score, top, 1)
         order = np.argsort(-cos, axis=1, kind="stable")
         return np.take_along_axis(top, order, 1), np.take_along_axis(cos, order, 1)
 
 
+def _near(cos: np.ndarray, ratio: float) -> np.ndarray:
+    """Which of the lists, best first, lie within ``ratio`` times the distance of the best."""
+    far = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cos))
+    keep = (far <= np.maximum(far[:, :1], 1e-6) * ratio) & (cos > -1.5)
+    keep[:, 0] = True
+    return keep
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     flat = column.flatten()
     return flat.to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
@@ -111,7 +145,7 @@ def _unit(vectors: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
     return vectors.filter(ok).filter(~F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))) & F.exists(v, lambda e: e != 0)).select(F.col(id_col).alias("id"), v.alias("vec"))
 
 
-def knn(vectors: DataFrame, id_col: str, vec_col: str, dim: int = 384, k: int = 5, min_similarity: float = -1.0, probes: int = 8, postings: int = 2, ratio: float = 1.15, bits: int = 8, list_size: int = LIST_SIZE, block: int = BLOCK) -> DataFrame:
+def knn(vectors: DataFrame, id_col: str, vec_col: str, dim: int = 384, k: int = 5, min_similarity: float = -1.0, probes: int = 5, postings: int = 2, ratio: float = 1.15, bits: int = 16, list_size: int = LIST_SIZE, block: int = BLOCK) -> DataFrame:
     """``id, neighbour, similarity, rank``: for every vector its ``k`` most similar others of at least ``min_similarity``."""
     spark = vectors.sparkSession
     unit = _unit(vectors, id_col, vec_col, dim)
@@ -144,9 +178,7 @@ def knn(vectors: DataFrame, id_col: str, vec_col: str, dim: int = 384, k: int =
                 if not len(x):
                     continue
                 lists, cos = g.nearest(x, probes)
-                far = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cos))
-                keep = far <= np.maximum(far[:, :1], 1e-6) * ratio
-                keep[:, 0] = True
+                keep = _near(cos, ratio)
                 scale = np.abs(x).max(axis=1, keepdims=True) / top
                 code = np.rint(x / scale).astype(kind)
                 yield pa.RecordBatch.from_arrays(
@@ -155,19 +187,35 @@ def knn(vectors: DataFrame, id_col: str, vec_col: str, dim: int = 384, k: int =
                 )
 
     id_type = unit.schema["id"].dataType.simpleString()
-    placed = unit.mapInArrow(place, f"id {id_type}, code binary, scale float, lists array<int>").withColumn("h", F.xxhash64("code", "scale"))
-    placed = materialize(placed, "vectors")
-    groups = placed.groupBy("h").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1)
+    placed = unit.mapInArrow(place, f"id {id_type}, code binary, scale float, lists array<int>")
+    placed = materialize(placed.withColumn("h", F.xxhash64("code", "scale")).withColumn("h2", F.hash("code")), "vectors")
+    salt = 0
+    while True:
+        groups = placed.groupBy("h").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.min("h2").alias("lo"), F.max("h2").alias("hi")).filter(F.col("n") > 1)
+        groups = materialize(groups, "copies")
+        if groups.filter(F.col("lo") < F.col("hi")).isEmpty():
+            break
+        salt += 1
+        placed = placed.withColumn("h", F.xxhash64("code", "scale", F.lit(salt)))
     copies = placed.select("h", "id").join(groups, "h").filter(F.col("id") != F.col("first")).select("id")
     single = placed.join(copies, "id", "left_anti")
 
-    # Blocks per list: at most MAX_LISTS rows.
-    sizes = single.select(F.explode(F.slice("lists", 1, postings)).alias("list")).groupBy("list").agg(F.count("*").alias("n"))
-    blocks = F.broadcast(sizes.select("list", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("nb")))
-    rows_ = single.select("h", "code", "scale", F.posexplode("lists").alias("at", "list")).join(blocks, "list")
-    rows_ = rows_.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    # Postings per list: at most MAX_LISTS rows.
+    sizes = single.select(F.explode(F.slice("lists", 1, postings)).alias("list")).groupBy("list").agg(F.count("*").alias("n")).collect()
+    of_list = F.broadcast(spark.createDataFrame([(r["list"], r["n"]) for r in sizes] or [(0, 0)], "list int, n long"))
+    rows_ = single.select("h", "code", "scale", F.posexplode("lists").alias("at", "list")).join(of_list, "list")
+    rows_ = rows_.select("list", F.lit(0).alias("sub"), (F.col("at") < postings).alias("posted"), "h", "scale", "code", "n")
+    if any(r["n"] > block for r in sizes):
+        large = F.col("n") > block
+        parted = _sub_lists(rows_.filter(large).drop("sub"), dim, kind, list_size, probes, postings, ratio)
+        parted = materialize(parted, "parted")
+        of_sub = parted.filter("posted").groupBy("list", "sub").agg(F.count("*").alias("n"))
+        rows_ = rows_.filter(~large).unionByName(parted.join(of_sub, ["list", "sub"]).select("list", "sub", "posted", "h", "scale", "code", "n"))
+    nb = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    rows_ = rows_.withColumn("nb", nb).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     mine = F.pmod(F.hash("h"), F.col("nb")) == F.col("part")
-    rows_ = rows_.select("list", "part", ((F.col("at") < postings) & mine).alias("posted"), "h", "scale", "code")
+    rows_ = rows_.select(F.struct("list", "sub", "part").alias("l"), (F.col("posted") & mine).alias("posted"), "h", "scale", "code")
+    rows_ = rows_.select(F.xxhash64("l.list", "l.sub").alias("list"), "l.part", "posted", "h", "scale", "code")
     sent = rows_.repartition(F.col("list"), F.col("part")).sortWithinPartitions("list", "part", F.col("posted").desc())
 
     def decode(batch: pa.RecordBatch) -> np.ndarray:
@@ -228,3 +276,57 @@ def knn(vectors: DataFrame, id_col: str, vec_col: str, dim: int = 384, k: int =
     out = placed.select(F.col("h").alias("a"), "id").join(near, "a").filter(F.col("id") != F.col("neighbour"))
     w = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
     return out.select("id", "neighbour", "similarity", F.row_number().over(w).alias("rank")).filter(F.col("rank") <= k)
+
+
+def _sub_lists(rows: DataFrame, dim: int, kind, list_size: int, probes: int, postings: int, ratio: float) -> DataFrame:
+    """``list, sub, posted, h, scale, code``: rows(list, posted, h, scale, code, n) of large lists by the sub-lists they
+    are near.
+
+    The centroids of a list's sub-lists are fitted on a bounded sample of it, in one task; they reach the list's rows,
+    which are spread over tasks by hash, ahead of them in the sorted stream.
+    """
+
+    def vectors(code: pa.Array, scale: pa.Array) -> np.ndarray:
+        flat = np.frombuffer(b"".join(code.to_pylist()), dtype=kind).reshape(-1, dim)
+        return flat.astype(np.float32) * scale.to_numpy()[:, None]
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by("h").slice(0, 2 * SUB_SAMPLE)
+        x = vectors(table["code"].combine_chunks(), table["scale"].combine_chunks())
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        k = min(MAX_SUB, math.ceil(table["n"][0].as_py() / list_size))
+        c = balanced_centroids(x, max(1, math.ceil(len(x) / k)), MAX_SUB)
+        return pa.table({"list": pa.array([table["list"][0].as_py()], pa.int32()), "code": pa.array([c.astype(np.float32).tobytes()], pa.binary())})
+
+    drawn = rows.filter(F.col("posted") & (F.pmod(F.xxhash64("h"), F.ceil(F.col("n") / F.lit(SUB_SAMPLE))) == 0))
+    fitted = drawn.select("list", "h", "scale", "code", "n").groupBy("list").applyInArrow(fit, "list int, code binary")
+    spread = F.ceil(F.col("n") / F.lit(8 * BLOCK)).cast("int")
+    many = rows.select("list", spread.alias("tasks")).distinct()
+    heads = fitted.join(many, "list").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+    heads = heads.select("list", "task", F.lit(0).alias("head"), F.lit(False).alias("posted"), F.lit(0).cast("long").alias("h"), F.lit(0.0).cast("float").alias("scale"), "code")
+    body = rows.select("list", F.pmod(F.xxhash64("h"), spread).cast("int").alias("task"), F.lit(1).alias("head"), "posted", "h", "scale", "code")
+    sent = heads.unionByName(body).repartition("list", "task").sortWithinPartitions("list", "task", "head")
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, centroids = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists, tasks, heads_ = (batch.column(c).to_numpy() for c in range(3))
+            edge = np.concatenate([[0], np.nonzero((np.diff(lists) != 0) | (np.diff(tasks) != 0) | (np.diff(heads_) != 0))[0] + 1, [len(lists)]])
+            for a, b in zip(edge[:-1], edge[1:]):
+                part = batch.slice(a, b - a)
+                if heads_[a] == 0:
+                    at, centroids = lists[a], np.frombuffer(part.column(6)[0].as_py(), np.float32).reshape(-1, dim)
+                    continue
+                x = vectors(part.column(6), part.column(5))
+                cos = x @ centroids.T
+                m = min(probes, len(centroids))
+                top = np.argsort(-cos, axis=1, kind="stable")[:, :m]
+                keep = _near(np.take_along_axis(cos, top, 1), ratio)
+                i, j = np.nonzero(keep)
+                took = part.take(pa.array(i))
+                posted = took.column(3).to_numpy(zero_copy_only=False) & (j < postings)
+                yield pa.RecordBatch.from_arrays([took.column(0), pa.array(top[i, j].astype(np.int32)), pa.array(posted), took.column(4), took.column(5), took.column(6)], ["list", "sub", "posted", "h", "scale", "code"])
+
+    return sent.mapInArrow(assign, "list int, sub int, posted boolean, h long, scale float, code binary")
