@@ -113,6 +113,11 @@ def p9_shared(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_fraction(table(spark, folder, "documents"))
 
 
+def p9_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document: the class of its text, the copies of it, and the other texts that it shares a run with."""
+    return spans.text_classes(table(spark, folder, "documents"))
+
+
 _P3 = """
 WITH seen AS (SELECT DISTINCT chapter, character FROM coc WHERE chapter IS NOT NULL AND trim(character) <> ''),
 n AS (SELECT character, COUNT(*) AS n FROM seen GROUP BY character),
@@ -141,7 +146,7 @@ SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM x a JOIN x b ON a.h =
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_mix_balanced": p8_mix_balanced, "p8_shares": p8_shares, "p8_shares_balanced": p8_shares_balanced, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared}
+    return {"p1_found": p1_found, "p1_entities": p1_entities, "p3_found": p3_found, "p3_pairs": p3_pairs, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_knn": p6_knn, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_mix_balanced": p8_mix_balanced, "p8_shares": p8_shares, "p8_shares_balanced": p8_shares_balanced, "p9_found": p9_found, "p9_spans": p9_spans, "p9_shared": p9_shared, "p9_classes": p9_classes}
 
 
 def oracle_sql() -> dict[str, str]:
