@@ -41,6 +41,8 @@ SAMPLE = 65536
 MAX_LISTS = 16384
 LIST_SIZE = 1024
 BLOCK = 8192
+#: Groups of copies up to which the table of them is sent to every task.
+MAX_SENT = 500_000
 #: Sampled vectors per list of too many vectors, and the most sub-lists that it gets.
 SUB_SAMPLE, MAX_SUB = 2048, 128
 #: Edges per centroid; the best centroids met so far among which a search goes on, and those expanded at a time.
@@ -197,8 +199,10 @@ def knn(vectors: DataFrame, id_col: str, vec_col: str, dim: int = 384, k: int =
             break
         salt += 1
         placed = placed.withColumn("h", F.xxhash64("code", "scale", F.lit(salt)))
-    copies = placed.select("h", "id").join(groups, "h").filter(F.col("id") != F.col("first")).select("id")
-    single = placed.join(copies, "id", "left_anti")
+    firsts_ = groups.select("h", "first")
+    if groups.count() <= MAX_SENT:  # so the vectors need not be shuffled to find the copies
+        firsts_ = F.broadcast(firsts_)
+    single = placed.join(firsts_, "h", "left").filter(F.col("first").isNull() | (F.col("first") == F.col("id"))).drop("first")
 
     # Postings per list: at most MAX_LISTS rows.
     sizes = single.select(F.explode(F.slice("lists", 1, postings)).alias("list")).groupBy("list").agg(F.count("*").alias("n")).collect()
