@@ -77,10 +77,56 @@ def test_guard_allows(spark):
 
 def test_stream_keeps_versions(spark, tmp_path):
     src, out = tmp_path / "in", tmp_path / "out"
-    for k, rows in enumerate([[(1, "a"), (2, "b")], [(1, "a"), (2, "c")]]):
+    # A key that a batch lacks keeps its open version, also where its part is touched by others.
+    batches = [[(k, f"t{k}") for k in range(40)], [(1, "t1"), (2, "new"), (99, "x")], [(2, "newer")]]
+    for rows in batches:
         spark.createDataFrame(rows, "k int, body string").coalesce(1).write.mode("append").parquet(str(src))
         stream = spark.readStream.schema("k int, body string").parquet(str(src))
-        jobs.keep_versions(stream, ["k"], "body", str(out), str(tmp_path / "cp")).awaitTermination()
-        got = spark.read.parquet(f"{out}/v={k}")
-    assert sorted((r["k"], r["text"]) for r in got.filter("superseded_at is null").collect()) == [(1, "a"), (2, "c")]
-    assert got.count() == 3
+        jobs.keep_versions(stream, ["k"], "body", str(out), str(tmp_path / "cp"), parts=4).awaitTermination()
+    got = jobs.versions(spark, str(out))
+    assert got.columns == ["k", "text", "hash", "first_seen", "last_seen", "superseded_at"]
+    rows = got.collect()
+    assert sorted((r["k"], r["text"]) for r in rows if r["superseded_at"] is None) == sorted([(k, f"t{k}") for k in range(40) if k != 2] + [(2, "newer"), (99, "x")])
+    assert sorted((r["k"], r["text"]) for r in rows if r["superseded_at"]) == [(2, "new"), (2, "t2")]
+    one = next(r for r in rows if r["k"] == 1)
+    assert one["last_seen"] > one["first_seen"]
+
+
+def test_tables_are_replaced_together(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    assert sinks.replace_tables({a: spark.range(3), b: spark.range(2)}) == {a: 3, b: 2}
+    assert sinks.replace_table(spark.range(9), a, dry_run=True) == 9 and spark.read.parquet(a).count() == 3
+    bad = spark.range(5).selectExpr("assert_true(id < 4) as x", "id")
+    with pytest.raises(Exception):
+        sinks.replace_tables({a: spark.range(7), b: bad})
+    assert spark.read.parquet(a).count() == 3 and spark.read.parquet(b).count() == 2
+    # A table may be replaced by one that reads it.
+    assert sinks.replace_table(spark.read.parquet(a).union(spark.range(1)), a) == 4
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
+    assert sinks.in_order(["z", "b", "a"], ("b", "c", "z")) == ["b", "z", "a"]
+
+
+def test_graph_file_and_ranked_csv(spark, tmp_path):
+    nodes = spark.createDataFrame([(1, "Ann", None), (2, "Bo", ["x"])], "id int, name string, aliases array<string>")
+    sinks.graph_json(nodes, spark.createDataFrame([], "source int, target int"), str(tmp_path / "g.json"))
+    assert json.load(open(tmp_path / "g.json")) == {"nodes": [{"id": 1, "name": "Ann", "aliases": None}, {"id": 2, "name": "Bo", "aliases": ["x"]}], "edges": []}
+    sinks.ranked_csv(spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.98765)], "id string, score double"), str(tmp_path / "r"))
+    got = [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "r")).orderBy("rank").collect()]
+    assert got == [("1", "c", "0.9877"), ("2", "a", "0.5000"), ("3", "b", "0.5000")]
+
+
+def test_dated_csv_and_chapter_facts(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("id,name,day\n1,NA,\"July 22, 1997\"\n2,,soon\n")
+    got = loaders.dated_csv(spark, str(tmp_path / "c.csv"), "id int, name string, day string", {"day": "MMMM d, yyyy"}).collect()
+    assert [(r["id"], r["name"], str(r["day"])) for r in got] == [(1, "NA", "1997-07-22"), (2, None, "None")]
+    page = '<aside><div data-source="vol"><h3>Vol</h3><div class="pi-data-value">3 [ref]</div></div><div data-source="page"><h3>P</h3><div class="pi-data-value">19</div></div></aside>'
+    facts = loaders.chapter_facts(spark.createDataFrame([(7, page), (8, None)], "number int, html string")).collect()
+    assert facts[0].asDict() == {"number": 7, "volume": "3", "chapter_display": None, "pages": "19", "release_date": None, "jump_info": None} and facts[1]["volume"] is None
+
+
+def test_tools_answer(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, None)], "k int, v string").coalesce(1).write.parquet(f"{tmp_path}/region.parquet")
+    assert json.loads(tools.sql_json(spark, "SELECT 1 AS k, CAST(NULL AS STRING) AS v")) == [{"k": 1, "v": None}]
+    assert tools.sql_json(spark, "SELECT 1 AS k WHERE false") == "[]"
+    assert tools.call(spark, str(tmp_path), "nothing", {}).startswith("Error") and tools.call(spark, str(tmp_path), "query_database", {}).startswith("Error")
+    assert "7" in tools.call(spark, str(tmp_path), "query_database", {"sql": "SELECT 7 AS x"})

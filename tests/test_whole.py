@@ -21,13 +21,13 @@ def test_networks_keep_rare_characters_and_light_edges(spark, tmp_path):
     coc = [(1, "a"), (1, "b"), (2, "b"), (2, "b"), (2, "c"), (4, "d"), (None, "a"), (1, " "), (2, None)]
     d = write(spark, tmp_path, coc=(coc, "chapter int, character string"), chapter=([(k,) for k in range(1, 5)], "number int"))
     run = lambda name: rows(story.queries()[name](spark, d))
-    assert run("coappear_chapter_all") == [("a", "b", 1), ("b", "c", 2)]
+    assert run("coappear_chapter") == [("a", "b", 1), ("b", "c", 2)]
     every = [(a, b, 1) for a, b in ("ab", "ac", "ad", "bc", "bd", "cd")]
-    assert run("coappear_arc_all") == every and run("coappear_saga_all") == every
-    assert run("coappear_consec_2_all") == [("a", "b", 1), ("a", "c", 1), ("b", "c", 2)]
-    assert run("coappear_consec_3_all") == [("a", "b", 1), ("a", "c", 1), ("b", "c", 2), ("b", "d", 1), ("c", "d", 1)]
-    assert run("network_degree_all") == [("a", 1, 1), ("b", 2, 2), ("c", 1, 1), ("d", 0, 0)]
-    assert run("network_report_all") == [(2, 1, 4)]
+    assert run("coappear_arc") == every and run("coappear_saga") == every
+    assert run("coappear_consec_2") == [("a", "b", 1), ("a", "c", 1), ("b", "c", 2)]
+    assert run("coappear_consec_3") == [("a", "b", 1), ("a", "c", 1), ("b", "c", 2), ("b", "d", 1), ("c", "d", 1)]
+    assert run("network_degree") == [("a", 1, 1), ("b", 2, 2), ("c", 1, 1), ("d", 0, 0)]
+    assert run("network_report") == [(2, 1, 4)]
 
 
 def test_gaps_follow_chapter_order(spark, tmp_path):
@@ -35,7 +35,7 @@ def test_gaps_follow_chapter_order(spark, tmp_path):
     chapters = [(1, day(0), "x"), (2, day(7), "y"), (3, None, "x"), (4, day(22), None), (5, day(29), "x"), (6, day(60), "y")]
     d = write(spark, tmp_path, chapter=(chapters, "number int, date date, jump string"))
     want = [(1, day(0), 7, "none"), (2, day(7), 15, "break"), (4, day(22), 7, "none"), (5, day(29), 31, "long")]
-    assert rows(story.queries()["gap_days_all"](spark, d)) == want
+    assert rows(story.queries()["gap_days"](spark, d)) == want
 
 
 def test_following_crosses_empty_ranges(spark):
@@ -72,7 +72,7 @@ def test_every_section_of_every_scrape_meets_the_open_version(spark, tmp_path):
 def test_terms_of_every_script(spark, tmp_path):
     documents = [(1, "L'Équipage, naïve; ÉQUIPAGE"), (2, "第2928話でSegikは海賊"), (3, "quipage x1"), (4, None), (5, "海の賊海")]
     d = write(spark, tmp_path, documents=(documents, "doc_id long, text string"))
-    got = {r["term"]: (r["docs"], r["uses"]) for r in texts.queries()["term_index_all"](spark, d).collect()}
+    got = {r["term"]: (r["docs"], r["uses"]) for r in texts.queries()["term_index"](spark, d).collect()}
     one = dict.fromkeys(["l", "naïve", "第", "2928", "話で", "segik", "は海", "海賊", "quipage", "x1", "海の", "の賊", "賊海"], (1, 1))
     assert got == one | {"équipage": (1, 2)}
     df = spark.read.parquet(f"{d}/documents.parquet")

@@ -48,6 +48,87 @@ def affiliation(entry: str) -> tuple[str, str | None, str]:
     return entry, ", ".join(subs) or None, min(found, key=_RANK.get) if found else "current"
 
 
+#: Words that state the standing of an occupation, in their rank when several are stated.
+ROLE_STATUSES = (
+    "defected", "former", "resigned", "retired", "disbanded", "dissolved", "revoked", "post mortem", "acting", "promoted", "temporary", "secret", "double agent", "undercover", "clandestine",
+    "ruse", "espionage", "semi-retired", "descended", "illegitimate", "unknown status", "filler", "movie", "anime only", "non-canon",
+)
+#: Occupation fields whose source lost the delimiters, by id.
+ROLE_OVERRIDES = {
+    "Z": "Neo Marines Supreme Commander ; Marine Instructor (former) ; Marine Admiral (former)",
+    "Camie": "Fashion designing apprentice ; Takoyaki seller ; Waitress at Mermaid Cafe",
+    "Rebecca": "Lady-in-waiting ; Gladiator (former) ; Princess Of Dressrosa (former)",
+    "Gild_Tesoro": "Proprietor (former) ; Pirate (former) ; Slave (former)",
+    "Vito": "Pirate ; Advisor",
+}
+#: What marks a parenthesis as a translation.
+FOOTNOTES = ("viz:", "english versions:", "english version:", "4kids:")
+_RANK_OF_ROLE = {s: k for k, s in enumerate(ROLE_STATUSES)}
+_WIDE = re.compile("[\u3000-\u9fff\uff00-\uffef]")
+
+
+def _groups(text: str) -> list[tuple[int, int]]:
+    """Spans of the outermost parentheses; one that never closes reaches to the end."""
+    out, depth, start = [], 0, 0
+    for k, c in enumerate(text):
+        if c == "(":
+            start = start if depth else k
+            depth += 1
+        elif c == ")" and depth:
+            depth -= 1
+            if not depth:
+                out.append((start, k + 1))
+    return out + [(start, len(text))] if depth else out
+
+
+def _outside(text: str, mark: str) -> list[str]:
+    """Pieces between ``mark`` outside parentheses, blank ones left out."""
+    held = set().union(*(range(a, b) for a, b in _groups(text)))
+    cuts = [k for k, c in enumerate(text) if c == mark and k not in held]
+    return [p for a, b in zip([-1, *cuts], [*cuts, len(text)]) if (p := text[a + 1 : b].strip())]
+
+
+def _without_readings(text: str) -> str:
+    """The text without parentheses that hold a reading in a wide script or a translator's remark."""
+    at, kept = 0, []
+    for a, b in _groups(text):
+        inside = text[a:b].lower()
+        kept.append(text[at:a] if _WIDE.search(inside) or any(f in inside for f in FOOTNOTES) else text[at:b])
+        at = b
+    return re.sub(r"\s{2,}", " ", "".join([*kept, text[at:]])).strip()
+
+
+def _role(entry: str) -> tuple[str, str] | None:
+    """(role, status): parentheses at the end are peeled off, of the known words in them the first by rank counts."""
+    found = []
+    trim = lambda t: t.strip().rstrip("?≠").strip()
+    entry = trim(entry)
+    while entry.endswith(")") and (spans := _groups(entry)) and spans[-1][1] == len(entry):
+        a = spans[-1][0]
+        words = [w.strip().lower() for w in entry[a + 1 : -1].split(",")]
+        found += [k for w in words if (k := SAME.get(w, w)) in _RANK_OF_ROLE]
+        entry = trim(entry[:a])
+    return (entry, min(found, key=_RANK_OF_ROLE.get) if found else "current") if entry else None
+
+
+def occupations(raw: str | None, identifier: str | None = None) -> list[tuple[str, str]]:
+    """(role, status) of every role of an occupation field, in order.
+
+    Roles are parted by ';', or by commas outside parentheses if there is no ';'.  An entry like "a (status), b (status)"
+    holds several roles.  A null or blank field has none.
+    """
+    raw = _without_readings(ROLE_OVERRIDES.get(identifier or "", raw or ""))
+    entries = [p for p in map(str.strip, raw.split(";")) if p] if ";" in raw else _outside(raw, ",")
+    out = []
+    for entry in entries:
+        parts = _outside(entry, ",") if "(" in entry else [entry]
+        stated = sum(bool(re.search(r"\([^)]+\)\s*$", p)) for p in parts)
+        for part in parts if len(parts) > 1 and stated >= len(parts) - 1 else [entry]:
+            if got := _role(part):
+                out.append(got)
+    return out
+
+
 def power(name: str) -> tuple[str, str | None, bool]:
     """(name, model, made by hand) of a power's name."""
     name = re.sub(r"\[\d+\]", "", name).strip()
@@ -94,3 +175,18 @@ def affiliation_udf(entry: pd.Series) -> pd.DataFrame:
 @F.pandas_udf(T.StructType().add("base", "string").add("model", "string").add("made", "boolean"))
 def power_udf(name: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([power(e or "") for e in name], columns=["base", "model", "made"])
+
+
+@F.pandas_udf(T.ArrayType(T.StructType().add("role", "string").add("status", "string")))
+def occupations_udf(raw: pd.Series, identifier: pd.Series) -> pd.Series:
+    return pd.Series([[{"role": r, "status": s} for r, s in occupations(t, i)] for t, i in zip(raw, identifier)])
+
+
+_POWER = T.StructType().add("name", "string").add("model", "string").add("english", "string").add("kind", "string").add("refined", "string").add("made", "boolean")
+
+
+@F.pandas_udf(T.ArrayType(_POWER))
+def powers_udf(name: pd.Series, kind: pd.Series, english: pd.Series, name2: pd.Series, kind2: pd.Series, english2: pd.Series) -> pd.Series:
+    """Powers of two slots of a record."""
+    slots = zip(name, kind, english, name2, kind2, english2)
+    return pd.Series([[dict(zip(_POWER.names, e)) for e in powers([s[:3], s[3:]])] for s in slots])

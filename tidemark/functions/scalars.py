@@ -62,24 +62,73 @@ def month_day(text: Column) -> Column:
     return got
 
 
-def first_money(text: Column) -> Column:
-    """First credible number of a list of amounts (lines or ';'), digit groups joined."""
-    parts = F.split(F.regexp_replace(text, "¥", ""), r"[;\n]")
-    numbers = F.transform(parts, lambda p: F.regexp_replace(F.regexp_extract(p, r"[\d,]*\d[\d,]*", 0), ",", "").try_cast("bigint"))
-    return F.get(F.filter(numbers, lambda n: n.isNotNull() & (n > 0) & (n <= MOST_MONEY)), F.lit(0))
+#: Parts of a reward field that are no amount, and a reward that is stated wrongly everywhere.
+NO_MONEY = ("At least", "Unknown", "Over", "★", "(", ")")
+MONEY_OVERRIDES = {"Buggy": 3189000000}
+
+
+def money_text(text: Column) -> Column:
+    """The field as one line: lines joined by ';' without blank ones, brackets and bare reference numbers."""
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda v: F.trim(v)), lambda p: ~p.isin("", "[", "]") & ~p.rlike(r"^\d+$"))
+    return F.nullif(F.when(text.contains("\n"), F.array_join(lines, ";")).otherwise(F.trim(text)), F.lit(""))
+
+
+def first_money(text: Column, identifier: Column | None = None) -> Column:
+    """First credible number of a list of amounts (lines or ';'), digit groups joined; words that are no amount are
+    passed over."""
+    parts = F.transform(F.split(money_text(text), ";"), lambda p: F.trim(F.regexp_replace(p, "¥", "")))
+    parts = F.filter(parts, lambda p: ~p.isin(*NO_MONEY) & ~p.startswith("bounty") & (F.regexp_replace(p, "[★ ]", "") != ""))
+    numbers = F.transform(parts, lambda p: F.regexp_replace(F.regexp_extract(p, r"[\d,]+", 0), ",", "").try_cast("bigint"))
+    got = F.get(F.filter(numbers, lambda n: n.isNotNull() & (n > 0) & (n <= MOST_MONEY)), F.lit(0))
+    for name, amount in MONEY_OVERRIDES.items() if identifier is not None else ():
+        got = F.when((identifier == name) & (F.coalesce(text, F.lit("")) != ""), F.lit(amount).cast("bigint")).otherwise(got)
+    return got
+
+
+#: Words before an age.
+AGE_WORDS = ("Over", "Under", "Roughly", "Bas:", "And:", "Kerville:")
 
 
 def highest_age(text: Column) -> Column:
-    """Highest age over all lines; of a range the end counts."""
-    lines = F.split(text, r"[;\n]")
-    ages = F.transform(lines, lambda p: F.coalesce(first_group(p, "\\d+\\s*[–-]\\s*(\\d+)"), first_group(p, r"(\d+)")).try_cast("int"))
-    return F.array_max(F.filter(ages, lambda a: a.isNotNull()))
+    """Highest age over all lines; after some words the next word counts, of a range the end.
+
+    A line that begins like such a form but has no number makes the whole field unreadable (null); other lines without a
+    leading number are passed over.
+    """
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda v: F.trim(v)), lambda p: (p != "") & ~p.startswith("["))
+
+    def whole(word: Column) -> Column:
+        return F.when(word.rlike(r"^[+-]?\d+$"), word.try_cast("int"))
+
+    def read(line: Column) -> Column:
+        w = F.split(line, " ")
+        word = lambda k: F.get(w, F.lit(k))
+        marked = word(0).isin(*AGE_WORDS) | ((word(0) == "At") & (word(1).isNull() | (word(1) == "least"))) | word(0).rlike("[–-]|biologically")
+        value = (
+            F.when(word(0).isin(*AGE_WORDS), whole(word(1))).when((word(0) == "At") & (word(1) == "least"), whole(word(2)))
+            .when(word(0).contains("–"), whole(F.get(F.split(word(0), "–"), F.lit(1)))).when(word(0).contains("-"), whole(F.get(F.split(word(0), "-"), F.lit(1))))
+            .when(word(0).contains("biologically"), whole(F.get(F.split(word(1), r"\)"), F.lit(0)))).otherwise(whole(word(0)))
+        )
+        return F.struct(value.alias("v"), (F.coalesce(marked, F.lit(False)) & value.isNull()).alias("bad"))
+
+    ages = F.transform(lines, read)
+    return F.when(~F.exists(ages, lambda a: a["bad"]), F.array_max(F.filter(F.transform(ages, lambda a: a["v"]), lambda v: v.isNotNull())))
+
+
+def _blood_lines(text: Column) -> Column:
+    return F.filter(F.transform(F.split(text, "\n"), lambda v: F.trim(v)), lambda p: ~p.isin("", "[", "]") & ~p.rlike(r"^\d+$"))
+
+
+def blood_types(text: Column) -> Column:
+    """The types of a field joined by ', '; lines that are blank, numbers or brackets do not count."""
+    lines = _blood_lines(text)
+    return F.when(F.size(lines) > 0, F.array_join(lines, ", "))
 
 
 def blood_group(text: Column) -> Column:
-    """The single type of a field, 'mixed' for several; lines of digits or brackets do not count."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda p: (p != "") & ~p.rlike(r"^\d+$") & ~p.rlike(r"^\["))
-    return F.when(F.size(lines) > 1, "mixed").otherwise(F.get(lines, F.lit(0)))
+    """First word of the single type of a field, 'mixed' for several."""
+    lines = _blood_lines(text)
+    return F.when(F.size(lines) > 1, "mixed").otherwise(F.get(F.split(F.get(lines, F.lit(0)), " "), F.lit(0)))
 
 
 def region(origin: Column) -> Column:
@@ -135,10 +184,25 @@ def one_or_list(values: Column) -> Column:
     return F.when(F.size(values) > 0, F.array_join(values, "; "))
 
 
+#: Characters of the scripts that a lead gives names in besides the Latin one.
+_WIDE = r"\x{3000}-\x{9FFF}\x{FF00}-\x{FFEF}・"
+
+
 def first_sentences(text: Column, n: int = 2) -> Column:
-    """The first ``n`` sentences; white space is collapsed, reference marks go; null for blank text."""
-    clean = F.trim(F.regexp_replace(F.regexp_replace(text, r"\[\d+\]", ""), r"\s+", " "))
-    return F.when(~blank(clean), F.array_join(F.slice(F.split(clean, r"(?<=[.!?])\s+"), 1, n), " "))
+    """The first ``n`` sentences of a lead, null for blank text and for a dump of an information box.
+
+    Reference marks, readings in parentheses and characters of wide scripts go, white space is collapsed, also before
+    marks of punctuation; an initial ("D.") ends no sentence.
+    """
+    clean = F.regexp_replace(text, r"\[\s*\d+\s*\]", "")
+    clean = F.regexp_replace(clean, rf"\(\s*[{_WIDE}][^)]*\)", "")
+    clean = F.trim(F.regexp_replace(F.regexp_replace(clean, rf"[{_WIDE}]+", ""), r"\s+", " "))
+    clean = F.regexp_replace(clean, r"\s+([,.;:!?])", "$1")
+    clean = F.regexp_replace(F.regexp_replace(clean, r"\s+(['\x{2019}])(\w)", "$1$2"), r"\s+-(\w)", "-$1")
+    parts = F.split(F.regexp_replace(clean, r"\b([A-Z])\.\s+([A-Z])", "$1\x01 $2"), r"(?<=[.!?])\s+")
+    got = F.regexp_replace(F.trim(F.array_join(F.slice(parts, 1, n), " ")), "\x01", ".")
+    dump = text.rlike(r"Statistics\s+Japanese Name:|Romanized Name:")
+    return F.when(~blank(clean) & ~dump, got)
 
 
 #: Words in names of groups and places.
@@ -160,3 +224,45 @@ def scrape_outcome(stated: list[Column], url: Column, host: str) -> Column:
 def plain_month_day(text: Column) -> Column:
     """'March 9' as a date of the year 2000."""
     return F.to_date(F.try_to_timestamp(F.concat(F.trim(text), F.lit(" 2000")), F.lit("MMMM d yyyy")))
+
+
+def title_number(title: Column, word: str) -> Column:
+    """The number after ``word`` in a page title ("Chapter 12"), case aside."""
+    return first_group(title, rf"(?i){word}\s+(\d+)").try_cast("int")
+
+
+def valid_chapter(number: Column, most: int = 2000) -> Column:
+    return F.coalesce(number.between(1, most), F.lit(False))
+
+
+def valid_url(text: Column) -> Column:
+    """An address with a scheme and a host."""
+    return F.coalesce(text.rlike(r"^(?i)(?:https?|ftp)://[^\s/?#.]+[^\s/?#]*(?:[/?#]\S*)?$"), F.lit(False))
+
+
+def first_of(values: Column) -> Column:
+    """The first element of a list that is neither null nor blank."""
+    return F.get(F.filter(values, lambda v: ~blank(v)), F.lit(0))
+
+
+def name_of(name: Column, other: Column, identifier: Column) -> Column:
+    """The name, else the other name, else the id, else an empty text."""
+    stated = lambda c: F.when(~blank(c), c)
+    return F.coalesce(stated(name), stated(other), stated(identifier), F.lit(""))
+
+
+def plain_cell(text: Column) -> Column:
+    """A table cell without footnotes [..], notes (..) and markup of links and emphasis."""
+    cell = F.regexp_replace(F.regexp_replace(text, r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1"), r"'{2,}", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(cell, r"\[[^\]]*\]", ""), r"\([^()]*\)", ""), r"\s+", " "))
+
+
+def cell_values(text: Column) -> Column:
+    """The values of a cell, which are parted by ';', line breaks (also <br>) or list items."""
+    parts = F.split(text, r"(?i);|\n|<br\s*/?>|</?li>")
+    return F.filter(F.transform(parts, plain_cell), lambda p: p != "")
+
+
+def optional(df, name: str, kind: str = "string", otherwise=None) -> Column:
+    """The column ``name`` of ``df`` if it has one, else ``otherwise`` as ``kind``."""
+    return F.col(name) if name in df.columns else F.lit(otherwise).cast(kind)

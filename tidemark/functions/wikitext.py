@@ -88,6 +88,7 @@ def info_box(page: str) -> dict[str, str]:
     out = {}
     for m in re.finditer(r'data-source="([^"]+)"[^>]*>(.*?)(?=data-source="|</aside>|\Z)', page, re.S):
         body = re.sub(r"<h3[^>]*>.*?</h3>", "", m.group(2), flags=re.S)
+        body = re.sub(r"<[^>]*\Z", "", body)  # the tag in which the next field is named
         body = html.unescape(re.sub(r"<[^>]+>", "", re.sub(r"<br\s*/?>|</li>", "\n", body)))
         lines = [" ".join(x.split()) for x in re.sub(r"\[\s*\d+\s*\]", "", body).split("\n")]
         value = "\n".join(x for x in lines if x)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
 
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.merging import read_sections
+
 MAX_LEN, STEP, SHORT = 3200, 2800, 50
 #: Names per automaton.
 SHARD = 100_000
@@ -41,19 +42,14 @@ def fold_sections(sections: list[tuple[str, str]], short: int = SHORT) -> list[t
 
 
 def page_chunks(pages: DataFrame) -> DataFrame:
-    """``chunk_id, page_id, section_name, chunk_text`` of ``pages(page_id, sections)``; unreadable JSON has no chunk."""
+    """``chunk_id, page_id, section_name, chunk_text`` of ``pages(page_id, sections)`` in either shape; unreadable JSON has
+    no chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [])
             for page, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                try:
-                    got = json.loads(raw)
-                except (TypeError, ValueError):
-                    continue
-                if not isinstance(got, dict):
-                    continue
-                for name, text in fold_sections([(k, v) for k, v in got.items() if isinstance(v, str)]):
+                for name, text in fold_sections(read_sections(raw)):
                     n = max(1, -(-(len(text) - (MAX_LEN - STEP)) // STEP))
                     for i in range(n):
                         ident = f"{page}::{name}" + (f"::part_{i + 1}" if n > 1 else "")

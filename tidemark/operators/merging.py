@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import discard, materialize
+
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first by ``order``. Spark limits each map task to one row per key before the shuffle."""
@@ -30,7 +32,7 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def resolve_aliases(mapping: dict[str, str]) -> dict[str, str]:
-    """Chains followed to their end; a name in a cycle goes to the least name of the cycle."""
+    """Chains of a small mapping followed to their end; a name in a cycle goes to the least name of the cycle."""
     out = {}
     for alias in mapping:
         seen, at = [alias], mapping[alias]
@@ -41,12 +43,46 @@ def resolve_aliases(mapping: dict[str, str]) -> dict[str, str]:
     return {a: c for a, c in out.items() if a != c}
 
 
+def resolve_chains(aliases: DataFrame) -> DataFrame:
+    """``alias, canonical`` with chains of ``aliases(alias, canonical)`` followed to their end, as a table.
+
+    Each round doubles the step and is written to the shared folder, so there are at most log n of them.  Of several
+    targets of an alias the least counts; an alias in a cycle, or that leads into one, goes to the least name of the
+    cycle.  Nulls and loops lead nowhere.
+    """
+    stated = aliases.filter(F.col("alias").isNotNull() & F.col("canonical").isNotNull() & (F.col("alias") != F.col("canonical")))
+    edges = stated.groupBy("alias").agg(F.min("canonical").alias("to"))
+    at = materialize(edges.withColumn("least", F.col("to")), "chains")
+    for _ in range(at.count().bit_length()):
+        far = at.select(F.col("alias").alias("to"), F.col("to").alias("_to"), F.col("least").alias("_least"))
+        step = at.join(far, "to", "left").select("alias", F.coalesce("_to", "to").alias("to"), F.least("least", F.coalesce("_least", "least")).alias("least"))
+        step = materialize(step, "chains")
+        discard(at)
+        at = step
+    # What still points to an alias has come to a cycle, all of which the alias it points to has seen.
+    on = at.select(F.col("alias").alias("to"), F.col("least").alias("_cycle"))
+    return at.join(on, "to", "left").select("alias", F.coalesce("_cycle", "to").alias("canonical")).filter(F.col("alias") != F.col("canonical"))
+
+
 def merge_aliases(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
     """``df`` with ``column`` mapped through ``aliases(alias, canonical)``; rows that become equal collapse."""
     a = aliases.select(F.col("alias").alias("_a"), F.col("canonical").alias("_c"))
     return df.join(a, F.col(column) == F.col("_a"), "left").withColumn(column, F.coalesce("_c", column)).select(*df.columns).distinct()
 
 
+def set_column(df: DataFrame, column: str, values: DataFrame, key: str, only_null: bool = False) -> DataFrame:
+    """``df`` with ``column`` set from ``values(key, column)``, one row per key; the column is added if it is missing.
+
+    Rows without a value keep what they have; with ``only_null`` only rows whose column is null are set.
+    """
+    new = values.select(F.col(key).alias("_key"), F.col(column).alias("_new"))
+    got = df.join(new, F.col(key) == F.col("_key"), "left")
+    if column not in df.columns:
+        return got.withColumn(column, F.col("_new")).select(*df.columns, column)
+    order = (F.col(column), F.col("_new")) if only_null else (F.col("_new"), F.col(column))
+    return got.withColumn(column, F.coalesce(*order)).select(*df.columns)
+
+
 def classify_changes(old: DataFrame, new: DataFrame, keys: list[str], text: str, hash_: str, similar: Column | None = None) -> DataFrame:
     """Each key of either side with what happens to it.
 

@@ -8,12 +8,23 @@ from pyspark.sql import functions as F
 from tidemark.session import materialize
 
 
-def pair_edges(member: DataFrame, group: str, item: str, min_weight: int = 1, distinct: bool = True) -> DataFrame:
-    """``source < target, weight``: groups shared by two items; with ``distinct`` off repeated rows count again."""
+#: Members of a group that meet those of another part of it in one task.
+BLOCK = 1024
+
+
+def pair_edges(member: DataFrame, group: str, item: str, min_weight: int = 1, distinct: bool = True, block: int = BLOCK) -> DataFrame:
+    """``source < target, weight``: groups shared by two items; with ``distinct`` off repeated rows count again.
+
+    A group of over ``block`` members is cut into parts by hash; each part meets the whole group under a key of its own,
+    so the pairs of a hot group are made by as many tasks as it has parts.
+    """
     m = member.select(F.col(group).alias("g"), F.col(item).alias("v")).filter(F.col("g").isNotNull() & F.col("v").isNotNull())
     m = m.distinct() if distinct else m.groupBy("g", "v").agg(F.count("*").alias("n"))
-    a, b = m.alias("a"), m.alias("b")
-    joined = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.v") < F.col("b.v")))
+    sizes = m.groupBy("g").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts"), F.count("*").alias("size")).filter(F.col("size") > 1).drop("size")
+    m = m.join(sizes, "g")
+    a = m.withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).alias("a")
+    b = m.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+    joined = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.v") < F.col("b.v")))
     weight = F.count("*") if distinct else F.sum(F.col("a.n") * F.col("b.n"))
     return joined.groupBy(F.col("a.v").alias("source"), F.col("b.v").alias("target")).agg(weight.alias("weight")).filter(F.col("weight") >= min_weight)
 
@@ -35,6 +46,41 @@ def within_hops(edges: DataFrame, focus: DataFrame, hops: int) -> DataFrame:
     return seen
 
 
+def hop_edges(edges: DataFrame, focus: DataFrame, hops: int, most: int | None = None) -> DataFrame:
+    """``edges(source, target, ...)`` met within ``hops`` steps of ``focus``, with the ``hop`` at which each is met.
+
+    With ``most`` only the first so many, nearer ones first and then by source and target, so the cut is the same in
+    every run; each task keeps at most that many rows.
+    """
+    reached = within_hops(edges, focus, max(0, hops - 1))
+    at = lambda c, h: reached.select(F.col("node").alias(c), F.col("hop").alias(h))
+    met = edges.join(at("source", "_s"), "source", "left").join(at("target", "_t"), "target", "left")
+    met = met.withColumn("hop", F.least("_s", "_t") + 1).filter(F.col("hop").isNotNull()).select(*edges.columns, "hop")
+    return met if most is None else met.orderBy("hop", "source", "target").limit(most)
+
+
+def unlinked(triples: DataFrame, known: DataFrame, most: int | None = None) -> DataFrame:
+    """``side, name, n``: how often names of ``triples(subject, object)`` are not in ``known(name)``, the commonest first."""
+    side = lambda c: triples.select(F.lit(c).alias("side"), F.col(c).alias("name"), F.lower(F.trim(c)).alias("_k"))
+    rows = side("subject").unionByName(side("object")).filter(F.col("name").isNotNull())
+    rows = rows.join(known.select(F.col("name").alias("_k")), "_k", "left_anti").groupBy("side", "name").agg(F.count("*").alias("n"))
+    return rows if most is None else rows.orderBy(F.desc("n"), "side", "name").limit(most)
+
+
+#: Quotes that say nothing, and the fewest words of one that does.
+EMPTY_QUOTES, LEAST_WORDS = ("", "none", "n/a", "na", "null"), 5
+
+
+def valid_triple(relations: tuple[str, ...], least: float = 0.6) -> Column:
+    """Whether a row (subject, relation, object, quote, confidence as text) may be kept: known relation, two different
+    names, a quote of at least five words, and a confidence that is a number of at least ``least``."""
+    quote = F.lower(F.regexp_replace(F.trim("quote"), "^['\"]+|['\"]+$", ""))
+    words = F.size(F.filter(F.split(F.trim("quote"), r"\s+"), lambda w: w != ""))
+    sure = F.coalesce(F.col("confidence").try_cast("double") >= least, F.lit(False))
+    got = F.col("relation").isin(*relations) & (F.col("subject") != F.col("object")) & ~quote.isin(*EMPTY_QUOTES) & (words >= LEAST_WORDS) & sure
+    return F.coalesce(got, F.lit(False))
+
+
 def name_index(nodes: DataFrame) -> DataFrame:
     """``name, id``: folded canonical names and aliases; of several claims on a name the first node's wins."""
     names = F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))
@@ -45,16 +91,16 @@ def name_index(nodes: DataFrame) -> DataFrame:
 def evidence_edges(triples: DataFrame, relations: tuple[str, ...], least: float = 0.6, quotes: int = 3, longest: int = 500) -> DataFrame:
     """Edges of ``triples(subject, relation, object, confidence, chapter, quote)``.
 
-    Unknown relations, low or null confidence and loops go. Per edge the surest row gives confidence and chapter (its
-    chapter, else the first known one); up to ``quotes`` different quotes are joined, surest first.
+    Unknown relations, low or null confidence and loops go. Per edge the surest row gives the confidence and the chapter,
+    or where it has none the surest row that has one; up to ``quotes`` different quotes are joined, surest first.
     """
     good = triples.filter(F.col("relation").isin(*relations) & (F.col("confidence") >= least) & (F.col("subject") != F.col("object")))
-    order = [F.desc("confidence"), F.asc_nulls_last("chapter"), F.asc_nulls_last("quote")]
     key = ["subject", "relation", "object"]
     each = good.filter(F.trim("quote") != "").groupBy(*key, "quote").agg(F.max("confidence").alias("confidence"))
     ranked = each.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("confidence"), "quote"))).filter(F.col("r") <= quotes)
     text = ranked.groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "quote"))), lambda s: s["quote"]), " | ").alias("evidence"))
-    top = good.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter(F.col("r") == 1).select(*key, "confidence", "chapter")
+    surest = F.min_by("chapter", F.when(F.col("chapter").isNotNull(), F.struct((-F.col("confidence")).alias("c"), "chapter")))
+    top = good.groupBy(*key).agg(F.max("confidence").alias("confidence"), surest.alias("chapter"))
     return top.join(text, key, "left").select(*key, "confidence", "chapter", F.substring(F.coalesce("evidence", F.lit("")), 1, longest).alias("evidence"))
 
 

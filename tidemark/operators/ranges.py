@@ -60,3 +60,17 @@ def following(df: DataFrame, order: str, value: str, name: str, parts: int | Non
     ahead = F.lead(value).over(Window.partitionBy("_part").orderBy(order))
     got = local.withColumn(name, ahead).join(F.broadcast(border), "_part")
     return got.withColumn(name, F.when(F.col(order) == F.col("_last"), F.col("_next")).otherwise(F.col(name))).select(*df.columns, name)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str, parts: int | None = None) -> DataFrame:
+    """``df`` with column ``name``: its place by ``order`` from 1, ranged and sorted; no task numbers the whole table.
+
+    Only the number of rows of each range meets in one task. Rows that are equal in ``order`` have any order.
+    """
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    local = materialize(ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_id", 33)
+    sizes = local.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
+    before = sizes.select("_part", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    place = F.col("_base") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return local.withColumn("_part", part).join(F.broadcast(before), "_part").select(*df.columns, place.alias(name))

@@ -10,6 +10,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 #: Scripts written without spaces, and the sign for long vowels, which belongs to no script. All are above U+0E00, which
 #: is asked first as scripts are looked up slowly.
 _SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\x{30FC}\x{FF70}"
@@ -90,3 +92,50 @@ def full_text(df: DataFrame, id_col: str, text_col: str, query: str, k: int = 5)
     wanted = [w for a in q["must"] for w in a] + q["phrases"]
     score = F.size(F.filter("_w", lambda w: F.array_contains(terms(F.lit(" ".join(wanted))), w))) if wanted else F.lit(0)
     return d.select(id_col, score.alias("score")).orderBy(F.desc("score"), id_col).limit(k)
+
+
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
+def stored_index(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """The inverted index of ``df``, written once a session for each ``name`` and sorted by term, so that a search reads
+    only the row groups of its words."""
+    key = (df.sparkSession.sparkContext.applicationId, name)
+    if key not in _STORED:
+        index = inverted_index(df, id_col, text_col).repartitionByRange("term").sortWithinPartitions("term", "id")
+        _STORED[key] = materialize(index, "index")
+    return _STORED[key]
+
+
+def search_index(index: DataFrame, df: DataFrame, id_col: str, text_col: str, query: str, k: int = 5) -> DataFrame:
+    """``full_text`` over ``index(term, id, tf)``; texts are read only of rows that hold the words, and only for phrases
+    and words of several terms."""
+    q = parse_query(query)
+    spark = df.sparkSession
+    of = {w: r for w, r in _terms_of(spark, sorted({w for a in q["must"] for w in a} | set(q["not"]) | set(q["phrases"]))).items()}
+    wanted = sorted({t for w in [w for a in q["must"] for w in a] + q["phrases"] for t in of[w]})
+    if not wanted:
+        return full_text(df, id_col, text_col, query, k)
+    asked = sorted({*wanted, *(t for w in q["not"] for t in of[w])})
+    rows = index.filter(F.col("term").isin(asked)).groupBy("id").agg(F.collect_set("term").alias("_w"), F.sum(F.when(F.col("term").isin(wanted), F.col("tf")).otherwise(0)).cast("int").alias("score"))
+    held = lambda w: F.size(F.array_except(F.array(*map(F.lit, of[w])), F.col("_w"))) == 0 if of[w] else F.lit(False)
+    exact = [w for w in {w for a in q["must"] for w in a} | set(q["not"]) if len(of[w]) > 1]
+    if q["phrases"] or exact:
+        texts = df.select(F.col(id_col).alias("id"), F.lower(text_col).alias("_t"))
+        rows = rows.join(texts, "id")
+    has = lambda w: held(w) & F.col("_t").contains(w) if w in exact else held(w)
+    for alternatives in q["must"]:
+        rows = rows.filter(reduce(or_, map(has, alternatives)))
+    for w in q["not"]:
+        rows = rows.filter(~has(w))
+    for p in q["phrases"]:
+        rows = rows.filter(F.col("_t").contains(p))
+    return rows.select(F.col("id").alias(id_col), "score").orderBy(F.desc("score"), id_col).limit(k)
+
+
+def _terms_of(spark, words: list[str]) -> dict[str, list[str]]:
+    """Distinct terms of each of a query's words."""
+    if not words:
+        return {}
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.array_distinct(terms(F.col("w"))).alias("t")).collect()
+    return {r["w"]: list(r["t"]) for r in rows}

@@ -9,8 +9,10 @@ from tidemark.operators import merging, network, ranges
 from tidemark.sources.tables import table
 
 ARC, SAGA = 50, 200
-#: Items that appear in at most so many chapters are left out of the networks.
+#: The reports named gt10 leave out characters of at most so many chapters.
 RARE = 10
+#: Which pages are in scope for extraction.
+SCOPE_TOP, SCOPE_BOUNTY, SCOPE_RECENT_FROM, SCOPE_RECENT_LEAST = 500, 100_000_000, 1100, 3
 #: Persons that are kept although nothing is stated about them; a thing's status still removes them.
 KEPT = ("Brownbeard", "Charlos", "Gallant_Hippo", "Goa_King", "Lami", "Octopus_Mash", "Pandaman", "Rosward", "Shalria", "Sig", "Sphinx", "Ukkari")
 
@@ -139,51 +141,56 @@ def saga_lists(spark, d):
     return _blocks(_in_ranges(spark, d, seen(spark, d), SAGA, "saga").select("character", "saga").distinct(), "saga", "sagas")
 
 
-def _pairs(member: str, least: int) -> str:
-    return f"WITH m AS ({member}) SELECT a.v AS source, b.v AS target, COUNT(*)::BIGINT AS weight FROM m a JOIN m b ON a.g = b.g AND a.v < b.v GROUP BY 1, 2 HAVING COUNT(*) >= {least}"
+def _pairs(member: str) -> str:
+    return f"WITH m AS ({member}) SELECT a.v AS source, b.v AS target, COUNT(*)::BIGINT AS weight FROM m a JOIN m b ON a.g = b.g AND a.v < b.v GROUP BY 1, 2"
 
 
-@query(f"""WITH m AS (SELECT chapter AS g, character AS v, COUNT(*) AS n FROM coc WHERE chapter IS NOT NULL AND trim(character) <> '' GROUP BY 1, 2)
-SELECT a.v AS source, b.v AS target, SUM(a.n * b.n)::BIGINT AS weight FROM m a JOIN m b ON a.g = b.g AND a.v < b.v GROUP BY 1, 2 HAVING SUM(a.n * b.n) >= 2""")
+@query("""WITH m AS (SELECT chapter AS g, character AS v, COUNT(*) AS n FROM coc WHERE chapter IS NOT NULL AND trim(character) <> '' GROUP BY 1, 2)
+SELECT a.v AS source, b.v AS target, SUM(a.n * b.n)::BIGINT AS weight FROM m a JOIN m b ON a.g = b.g AND a.v < b.v GROUP BY 1, 2""")
 def coappear_chapter(spark, d):
     """Raw rows: repeated appearance rows multiply the weight."""
     coc = table(spark, d, "coc").filter(F.trim("character") != "")
-    return network.pair_edges(coc, "chapter", "character", 2, distinct=False)
+    return network.pair_edges(coc, "chapter", "character", distinct=False)
 
 
-@query(_pairs(f"SELECT DISTINCT arc AS g, character AS v FROM ({_BUSY}) x JOIN {_ARCS} r ON chapter BETWEEN s AND e", 2))
+@query(_pairs(f"SELECT DISTINCT arc AS g, character AS v FROM ({_SEEN}) x JOIN {_ARCS} r ON chapter BETWEEN s AND e"))
 def coappear_arc(spark, d):
-    return network.pair_edges(_in_ranges(spark, d, busy(spark, d), ARC, "arc"), "arc", "character", 2)
+    return network.pair_edges(_in_ranges(spark, d, seen(spark, d), ARC, "arc"), "arc", "character")
 
 
-@query(_pairs(f"SELECT DISTINCT saga AS g, character AS v FROM ({_BUSY}) x JOIN {_SAGAS} r ON chapter BETWEEN s AND e", 3))
+@query(_pairs(f"SELECT DISTINCT saga AS g, character AS v FROM ({_SEEN}) x JOIN {_SAGAS} r ON chapter BETWEEN s AND e"))
 def coappear_saga(spark, d):
-    return network.pair_edges(_in_ranges(spark, d, busy(spark, d), SAGA, "saga"), "saga", "character", 3)
+    return network.pair_edges(_in_ranges(spark, d, seen(spark, d), SAGA, "saga"), "saga", "character")
 
 
 def _consecutive(n: int):
     def run(spark, d):
         starts = F.explode(F.sequence(F.col("chapter") - (n - 1), F.col("chapter")))
-        member = busy(spark, d).select(starts.alias("g"), "character").filter(F.col("g") >= 1)
-        return network.pair_edges(member, "g", "character", n + 1)
+        member = seen(spark, d).select(starts.alias("g"), "character").filter(F.col("g") >= 1)
+        return network.pair_edges(member, "g", "character")
 
     run.__name__ = f"coappear_consec_{n}"
-    return query(_pairs(f"SELECT DISTINCT chapter - k AS g, character AS v FROM ({_BUSY}) x, (SELECT UNNEST(generate_series(0, {n - 1})) AS k) WHERE chapter - k >= 1", n + 1))(run)
+    return query(_pairs(f"SELECT DISTINCT chapter - k AS g, character AS v FROM ({_SEEN}) x, (SELECT UNNEST(generate_series(0, {n - 1})) AS k) WHERE chapter - k >= 1"))(run)
 
 
 for _n in (2, 3, 4, 5, 7):
     _consecutive(_n)
 
-_EDGES = _pairs(f"SELECT chapter AS g, character AS v FROM ({_BUSY})", 2)
+_EDGES = _pairs(f"SELECT chapter AS g, character AS v FROM ({_SEEN})")
+_EDGES_GT10 = _pairs(f"SELECT chapter AS g, character AS v FROM ({_BUSY})")
 
 
 def _edges(spark, d):
-    return network.pair_edges(busy(spark, d), "chapter", "character", 2)
+    return network.pair_edges(seen(spark, d), "chapter", "character")
 
 
-@query(f"WITH e AS ({_EDGES}) SELECT node, COUNT(*)::BIGINT AS degree, SUM(weight)::BIGINT AS weighted_degree FROM (SELECT source AS node, weight FROM e UNION ALL SELECT target, weight FROM e) GROUP BY node")
+@query(f"""WITH e AS ({_EDGES}), n AS (SELECT DISTINCT character AS node FROM ({_SEEN}))
+SELECT n.node, COUNT(weight)::BIGINT AS degree, COALESCE(SUM(weight), 0)::BIGINT AS weighted_degree FROM n LEFT JOIN (SELECT source AS node, weight FROM e UNION ALL SELECT target, weight FROM e) x ON x.node = n.node GROUP BY n.node""")
 def network_degree(spark, d):
-    return network.degrees(_edges(spark, d))
+    """Characters that always appear alone have degree 0."""
+    nodes = seen(spark, d).select(F.col("character").alias("node")).distinct()
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return nodes.join(network.degrees(_edges(spark, d)), "node", "left").select("node", zero("degree"), zero("weighted_degree"))
 
 
 @query(f"SELECT source, target, weight FROM ({_EDGES}) ORDER BY weight DESC, source, target LIMIT 20")
@@ -191,68 +198,25 @@ def network_top_pairs(spark, d):
     return _edges(spark, d).orderBy(F.desc("weight"), "source", "target").limit(20)
 
 
-@query(f"WITH e AS ({_EDGES}) SELECT COUNT(*)::BIGINT AS edges, MAX(weight)::BIGINT AS max_weight, (SELECT COUNT(*) FROM (SELECT source FROM e UNION SELECT target FROM e))::BIGINT AS nodes FROM e")
-def network_report(spark, d):
-    e = _edges(spark, d)
-    nodes = e.select("source").union(e.select("target")).distinct().agg(F.count("*").alias("nodes"))
-    return e.agg(F.count("*").alias("edges"), F.max("weight").alias("max_weight")).join(F.broadcast(nodes))
-
-
-# The queries above leave out rare characters and light edges, as their SQL does; those below keep every character that
-# appears and every edge.
-
-
-@query(f"""WITH m AS (SELECT chapter AS g, character AS v, COUNT(*) AS n FROM coc WHERE chapter IS NOT NULL AND trim(character) <> '' GROUP BY 1, 2)
-SELECT a.v AS source, b.v AS target, SUM(a.n * b.n)::BIGINT AS weight FROM m a JOIN m b ON a.g = b.g AND a.v < b.v GROUP BY 1, 2""")
-def coappear_chapter_all(spark, d):
-    """Raw rows: repeated appearance rows multiply the weight."""
-    coc = table(spark, d, "coc").filter(F.trim("character") != "")
-    return network.pair_edges(coc, "chapter", "character", distinct=False)
-
-
-@query(_pairs(f"SELECT DISTINCT arc AS g, character AS v FROM ({_SEEN}) x JOIN {_ARCS} r ON chapter BETWEEN s AND e", 1))
-def coappear_arc_all(spark, d):
-    return network.pair_edges(_in_ranges(spark, d, seen(spark, d), ARC, "arc"), "arc", "character")
-
-
-@query(_pairs(f"SELECT DISTINCT saga AS g, character AS v FROM ({_SEEN}) x JOIN {_SAGAS} r ON chapter BETWEEN s AND e", 1))
-def coappear_saga_all(spark, d):
-    return network.pair_edges(_in_ranges(spark, d, seen(spark, d), SAGA, "saga"), "saga", "character")
-
-
-def _consecutive_all(n: int):
-    def run(spark, d):
-        starts = F.explode(F.sequence(F.col("chapter") - (n - 1), F.col("chapter")))
-        member = seen(spark, d).select(starts.alias("g"), "character").filter(F.col("g") >= 1)
-        return network.pair_edges(member, "g", "character")
-
-    run.__name__ = f"coappear_consec_{n}_all"
-    return query(_pairs(f"SELECT DISTINCT chapter - k AS g, character AS v FROM ({_SEEN}) x, (SELECT UNNEST(generate_series(0, {n - 1})) AS k) WHERE chapter - k >= 1", 1))(run)
-
-
-for _n in (2, 3, 4, 5, 7):
-    _consecutive_all(_n)
-
-_EDGES_ALL = _pairs(f"SELECT chapter AS g, character AS v FROM ({_SEEN})", 1)
+def _report_sql(edges: str, nodes: str) -> str:
+    return f"WITH e AS ({edges}) SELECT COUNT(*)::BIGINT AS edges, MAX(weight)::BIGINT AS max_weight, (SELECT COUNT(DISTINCT character) FROM ({nodes}))::BIGINT AS nodes FROM e"
 
 
-def _edges_all(spark, d):
-    return network.pair_edges(seen(spark, d), "chapter", "character")
+def _report(member: DataFrame) -> DataFrame:
+    nodes = member.select("character").distinct().agg(F.count("*").alias("nodes"))
+    e = network.pair_edges(member, "chapter", "character")
+    return e.agg(F.count("*").alias("edges"), F.max("weight").alias("max_weight")).join(F.broadcast(nodes))
 
 
-@query(f"""WITH e AS ({_EDGES_ALL}), n AS (SELECT DISTINCT character AS node FROM ({_SEEN}))
-SELECT n.node, COUNT(weight)::BIGINT AS degree, COALESCE(SUM(weight), 0)::BIGINT AS weighted_degree FROM n LEFT JOIN (SELECT source AS node, weight FROM e UNION ALL SELECT target, weight FROM e) x ON x.node = n.node GROUP BY n.node""")
-def network_degree_all(spark, d):
-    """Characters that always appear alone have degree 0."""
-    nodes = seen(spark, d).select(F.col("character").alias("node")).distinct()
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return nodes.join(network.degrees(_edges_all(spark, d)), "node", "left").select("node", zero("degree"), zero("weighted_degree"))
+@query(_report_sql(_EDGES, _SEEN))
+def network_report(spark, d):
+    return _report(seen(spark, d))
 
 
-@query(f"WITH e AS ({_EDGES_ALL}) SELECT COUNT(*)::BIGINT AS edges, MAX(weight)::BIGINT AS max_weight, (SELECT COUNT(DISTINCT character) FROM ({_SEEN}))::BIGINT AS nodes FROM e")
-def network_report_all(spark, d):
-    nodes = seen(spark, d).select("character").distinct().agg(F.count("*").alias("nodes"))
-    return _edges_all(spark, d).agg(F.count("*").alias("edges"), F.max("weight").alias("max_weight")).join(F.broadcast(nodes))
+@query(_report_sql(_EDGES_GT10, _BUSY))
+def network_report_gt10(spark, d):
+    """The report over characters of more than ten chapters only."""
+    return _report(busy(spark, d))
 
 
 @query("SELECT number, title, volume, date FROM chapter ORDER BY number DESC LIMIT 1")
@@ -291,13 +255,13 @@ def merge_dedup(spark, d):
     return rows.agg(F.sum("n").alias("raw_rows"), F.count("*").alias("kept_rows"))
 
 
-@query("SELECT c.chapter, c.character FROM coc c WHERE EXISTS (SELECT 1 FROM characters x WHERE x.id = c.character AND NOT (COALESCE(x.status IN ('Active', 'Destroyed'), FALSE) OR (COALESCE(trim(x.status), '') = '' AND COALESCE(trim(x.birth), '') = '' AND x.id NOT IN (" + ", ".join(f"'{k}'" for k in KEPT) + "))))")
+@query("SELECT c.chapter, c.character FROM coc c WHERE EXISTS (SELECT 1 FROM characters x WHERE x.id = c.character AND NOT (COALESCE(x.status IN ('Active', 'Destroyed'), FALSE) OR (COALESCE(trim(x.status), '') = '' AND COALESCE(trim(x.origin), '') = '' AND x.id NOT IN (" + ", ".join(f"'{k}'" for k in KEPT) + "))))")
 def filter_non_entities(spark, d):
-    """Appearances of entities that are persons: not of a thing's status, and with a status or a birthday."""
+    """Appearances of entities that are persons: not of a thing's status, and with a status or an origin."""
     from tidemark.functions.scalars import THING_STATUSES, blank
 
     x = table(spark, d, "characters")
-    person = x.filter(~(F.coalesce(F.col("status").isin(*THING_STATUSES), F.lit(False)) | (blank(F.col("status")) & blank(F.col("birth")) & ~F.col("id").isin(*KEPT)))).select("id")
+    person = x.filter(~(F.coalesce(F.col("status").isin(*THING_STATUSES), F.lit(False)) | (blank(F.col("status")) & blank(F.col("origin")) & ~F.col("id").isin(*KEPT)))).select("id")
     return table(spark, d, "coc").join(person, F.col("character") == F.col("id"), "left_semi").select("chapter", "character")
 
 
@@ -307,45 +271,79 @@ def anti_cached(spark, d):
     return table(spark, d, "wiki_text").join(table(spark, d, "wiki_chunks").select("page_id"), "page_id", "left_anti").groupBy("page_id").agg(F.count("*").alias("pages"))
 
 
-@query(f"""SELECT page_id, COUNT(*)::BIGINT AS n FROM wiki_text WHERE page_id IN (
-  SELECT page_id FROM wiki_text WHERE page_type IN ('arc', 'saga') UNION SELECT character FROM (SELECT character, COUNT(*) AS n FROM ({_SEEN}) GROUP BY 1 ORDER BY n DESC, character LIMIT 500)
-  UNION SELECT page_id FROM (SELECT page_id, MAX(length(full_text)) AS l FROM wiki_text GROUP BY 1 ORDER BY l DESC NULLS LAST, page_id LIMIT 500)
-  UNION SELECT id FROM characters WHERE bounty > 100000000) GROUP BY page_id""")
-def semi_scope_union(spark, d):
-    """Pages in scope: story pages, the most seen, the longest, and those of high reward."""
+_COUNTED = f"(SELECT x.id, x.name, x.bounty, s.n, s.last FROM characters x LEFT JOIN (SELECT character, COUNT(*) AS n, MAX(chapter) AS last FROM ({_SEEN}) GROUP BY 1) s ON s.character = x.id)"
+
+
+def scope_sql(recent_from: int) -> str:
+    return f"""WITH c AS {_COUNTED}, w AS (SELECT page_id, title, length(full_text) AS l FROM wiki_text WHERE page_type = 'character')
+SELECT page_id, COUNT(*)::BIGINT AS n FROM wiki_text WHERE page_id IN (
+  SELECT page_id FROM wiki_text WHERE page_type IN ('arc', 'saga')
+  UNION SELECT page_id FROM w JOIN (SELECT name FROM c WHERE n IS NOT NULL ORDER BY n DESC, id LIMIT {SCOPE_TOP}) t ON t.name = w.title
+  UNION SELECT page_id FROM (SELECT page_id, MAX(l) AS l FROM w GROUP BY 1 ORDER BY l DESC NULLS LAST, page_id LIMIT {SCOPE_TOP})
+  UNION SELECT page_id FROM w JOIN c ON c.name = w.title WHERE c.bounty > {SCOPE_BOUNTY}
+  UNION SELECT page_id FROM w JOIN c ON c.name = w.title WHERE c.last >= {recent_from} AND c.n >= {SCOPE_RECENT_LEAST}) GROUP BY page_id"""
+
+
+def scope_union(spark, d, recent_from: int) -> DataFrame:
     w = table(spark, d, "wiki_text")
-    top = seen(spark, d).groupBy("character").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "character").limit(500).select(F.col("character").alias("page_id"))
-    long = w.groupBy("page_id").agg(F.max(F.length("full_text")).alias("l")).orderBy(F.desc_nulls_last("l"), "page_id").limit(500).select("page_id")
-    rich = table(spark, d, "characters").filter(F.col("bounty") > 100_000_000).select(F.col("id").alias("page_id"))
-    scope = w.filter(F.col("page_type").isin("arc", "saga")).select("page_id").union(top).union(long).union(rich).distinct()
+    people = w.filter(F.col("page_type") == "character")
+    counts = seen(spark, d).groupBy("character").agg(F.count("*").alias("n"), F.max("chapter").alias("last")).withColumnRenamed("character", "id")
+    c = table(spark, d, "characters").select("id", "name", "bounty").join(counts, "id", "left")
+    top = c.filter(F.col("n").isNotNull()).orderBy(F.desc("n"), "id").limit(SCOPE_TOP).select("name")
+    rich = c.filter(F.col("bounty") > SCOPE_BOUNTY).select("name")
+    recent = c.filter((F.col("last") >= recent_from) & (F.col("n") >= SCOPE_RECENT_LEAST)).select("name")
+    named = top.union(rich).union(recent).distinct().withColumnRenamed("name", "title")
+    long = people.groupBy("page_id").agg(F.max(F.length("full_text")).alias("l")).orderBy(F.desc_nulls_last("l"), "page_id").limit(SCOPE_TOP).select("page_id")
+    story = w.filter(F.col("page_type").isin("arc", "saga")).select("page_id")
+    scope = story.union(people.join(named, "title", "left_semi").select("page_id")).union(long).distinct()
     return w.join(scope, "page_id", "left_semi").groupBy("page_id").agg(F.count("*").alias("n"))
 
 
+@query(scope_sql(SCOPE_RECENT_FROM))
+def semi_scope_union(spark, d):
+    """Pages in scope: story pages, and pages of persons most seen, longest, of high reward, or lately and repeatedly seen."""
+    return scope_union(spark, d, SCOPE_RECENT_FROM)
+
+
+@query(scope_sql(100))
+def semi_scope_union_early(spark, d):
+    """The same with the fifth branch from chapter 100 on, which small tables reach."""
+    return scope_union(spark, d, 100)
+
+
 @query(f"""SELECT t.character, x.name, t.n::BIGINT AS chapters FROM (SELECT character, COUNT(*) AS n FROM ({_SEEN}) GROUP BY 1 ORDER BY n DESC, character LIMIT 25) t LEFT JOIN characters x ON x.id = t.character""")
 def topn_join(spark, d):
     top = seen(spark, d).groupBy("character").agg(F.count("*").alias("chapters")).orderBy(F.desc("chapters"), "character").limit(25)
     return top.join(table(spark, d, "characters").select("id", "name"), F.col("character") == F.col("id"), "left").select("character", "name", "chapters")
 
 
-@query("""SELECT number, date, days, CASE WHEN days > 21 THEN 'long' WHEN days > 14 THEN 'break' ELSE 'none' END AS gap FROM
-(SELECT number, date, CAST(LEAD(date) OVER (PARTITION BY jump ORDER BY number) - date AS BIGINT) AS days FROM chapter WHERE date IS NOT NULL AND jump IS NOT NULL) WHERE days IS NOT NULL""")
-def gap_days(spark, d):
-    """Days until the next chapter of the same issue label; partitioned, so no window holds the whole table."""
-    c = table(spark, d, "chapter").filter(F.col("date").isNotNull() & F.col("jump").isNotNull())
-    days = F.datediff(F.lead("date").over(Window.partitionBy("jump").orderBy("number")), "date").cast("long")
-    got = c.select("number", "date", days.alias("days")).filter(F.col("days").isNotNull())
-    return got.withColumn("gap", F.when(F.col("days") > 21, "long").when(F.col("days") > 14, "break").otherwise("none"))
-
-
 @query("""SELECT number, date, days, CASE WHEN days > 21 THEN 'long' WHEN days > 14 THEN 'break' ELSE 'none' END AS gap FROM
 (SELECT number, date, CAST(LEAD(date) OVER (ORDER BY number) - date AS BIGINT) AS days FROM chapter WHERE date IS NOT NULL AND number IS NOT NULL) WHERE days IS NOT NULL""")
-def gap_days_all(spark, d):
+def gap_days(spark, d):
     """Days until the next dated chapter, over all chapters in order; the last one has none."""
     c = table(spark, d, "chapter").select("number", "date").filter(F.col("date").isNotNull() & F.col("number").isNotNull())
     got = ranges.following(c, "number", "date", "next").select("number", "date", F.datediff("next", "date").cast("long").alias("days"))
     return got.filter(F.col("days").isNotNull()).withColumn("gap", F.when(F.col("days") > 21, "long").when(F.col("days") > 14, "break").otherwise("none"))
 
 
+@query("SELECT number, title, date FROM chapter ORDER BY number DESC LIMIT 10")
+def last_chapters(spark, d):
+    """The last ten rows, in order."""
+    return table(spark, d, "chapter").select("number", "title", "date").orderBy(F.desc("number")).limit(10).orderBy("number")
+
+
+@query(f"SELECT DISTINCT character FROM ({_SEEN}) EXCEPT SELECT id FROM characters")
+def unlisted_characters(spark, d):
+    """Characters that appear but are not on the list."""
+    return seen(spark, d).select("character").subtract(table(spark, d, "characters").select("id"))
+
+
+@query("SELECT jump, COUNT(*)::BIGINT AS n, COUNT(num_page)::BIGINT AS stated, ROUND(AVG(num_page), 6) AS mean, ROUND(STDDEV_SAMP(num_page), 6) AS sd, MIN(num_page) AS least, MAX(num_page) AS most FROM chapter GROUP BY jump")
+def page_summary(spark, d):
+    p = F.col("num_page")
+    return table(spark, d, "chapter").groupBy("jump").agg(F.count("*").alias("n"), F.count(p).alias("stated"), F.round(F.avg(p), 6).alias("mean"), F.round(F.stddev_samp(p), 6).alias("sd"), F.min(p).alias("least"), F.max(p).alias("most"))
+
+
 @query("""SELECT ((number - 1) // 100)::BIGINT AS century, MIN(date) AS start_date, MAX(date) AS end_date, CAST(MAX(date) - MIN(date) AS BIGINT) AS days FROM chapter GROUP BY 1 HAVING COUNT(*) = 100""")
 def century_windows(spark, d):
     """Tumbling windows of 100 chapters; an incomplete window is left out."""

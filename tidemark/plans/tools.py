@@ -81,3 +81,26 @@ def status(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+def sql_json(spark: SparkSession, sql: str, folder: str | None = None, rows: int = 1000) -> str:
+    """At most ``rows`` rows of a guarded query as one JSON array of objects, null fields included."""
+    got = run_sql(spark, sql, folder, strict=True).limit(rows)
+    out = got.agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in got.columns])), {"ignoreNullFields": "false"}).alias("j")).first()["j"]
+    return out or "[]"
+
+
+def call(spark: SparkSession, folder: str, name: str, arguments: dict) -> str:
+    """The answer of the tool ``name`` as text; an unknown name or a failing tool is answered as such."""
+    table_text = lambda df: df.toPandas().to_string(index=False)
+    tools = {
+        "query_database": lambda a: sql_text(spark, a["sql"], folder),
+        "search_wiki": lambda a: table_text(search_wiki(spark, folder, a["query"], int(a.get("limit", 5)))),
+        "profile": lambda a: table_text(profile(spark, folder, a["name"])),
+    }
+    if name not in tools:
+        return f"Error: there is no tool {name}"
+    try:
+        return tools[name](arguments)
+    except Exception as e:  # noqa: BLE001 - a tool answers with the error
+        return f"Error: {str(e).splitlines()[0] if str(e) else type(e).__name__}"

@@ -153,3 +153,21 @@ def fetch_pages(titles: DataFrame, fetch, batch: int = 50, streams: int = 4) ->
                 yield pa.RecordBatch.from_arrays([pa.array(names[k : k + batch]), pa.array([got.get(n) for n in names[k : k + batch]], pa.string())], ["title", "text"])
 
     return titles.select("title").repartition(streams).mapInArrow(run, "title string, text string")
+
+
+def dated_csv(spark: SparkSession, path: str, ddl: str, dates: dict[str, str]) -> DataFrame:
+    """A CSV with header and the columns of ``ddl``; ``dates`` gives the pattern of each date column. "NA" stays a text,
+    only an empty field is null, and a date that cannot be read is null."""
+    raw = spark.read.option("header", True).option("nullValue", "").schema(ddl).csv(path)
+    return raw.withColumns({c: F.to_date(F.try_to_timestamp(F.col(c), F.lit(p))) for c, p in dates.items()})
+
+
+#: Fields of a chapter page's information box, by the names that the page gives them.
+CHAPTER_FIELDS = {"vol": "volume", "chapter": "chapter_display", "page": "pages", "date2": "release_date", "jump": "jump_info"}
+
+
+def chapter_facts(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``pages`` with the fields of a chapter page's information box in place of the column ``html``."""
+    got = pages.withColumn("_box", info_box_udf(html))
+    fields = [F.trim(F.regexp_replace(F.col("_box")[k], r"\[ref\]", "")).alias(v) for k, v in CHAPTER_FIELDS.items()]
+    return got.select(*[c for c in pages.columns if c != html], *fields)

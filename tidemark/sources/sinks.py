@@ -1,16 +1,60 @@
-"""Writers: tables, CSV and JSON exports, comparison of two copies, atomic replacement."""
+"""Writers: tables, CSV and JSON exports, comparison of two copies, atomic replacement of one or several tables."""
 
 from __future__ import annotations
 
-import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Clear-then-insert: the new files are complete before the old ones go."""
-    df.write.mode("overwrite").parquet(path)
+def _files(spark: SparkSession, path: str):
+    """(file system, function that makes its paths) of the place where ``path`` lies."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def replace_tables(tables: dict[str, DataFrame], dry_run: bool = False) -> dict[str, int]:
+    """Clear-then-insert for every path: rows written, by path.
+
+    All new tables are written aside first, and only when all are complete does each take the place of the old one, by
+    renaming; the old one goes last.  A failed job leaves every old table as it was.  With ``dry_run`` rows are counted
+    and nothing is written.
+    """
+    if dry_run:
+        return {path: df.count() for path, df in tables.items()}
+    mark, done = uuid.uuid4().hex, {}
+    try:
+        for path, df in tables.items():
+            df.write.parquet(f"{path}.new-{mark}")
+            done[path] = df.sparkSession.read.schema(df.schema).parquet(f"{path}.new-{mark}").count()
+    except Exception:
+        for path, df in tables.items():
+            fs, make = _files(df.sparkSession, path)
+            fs.delete(make(f"{path}.new-{mark}"), True)
+        raise
+    for path, df in tables.items():
+        fs, make = _files(df.sparkSession, path)
+        old = make(f"{path}.old-{mark}")
+        had = fs.exists(make(path))
+        if had and not fs.rename(make(path), old):
+            raise OSError(f"cannot set aside {path}")
+        if not fs.rename(make(f"{path}.new-{mark}"), make(path)):
+            raise OSError(f"cannot put {path} in place")
+        if had:
+            fs.delete(old, True)
+    return done
+
+
+def replace_table(df: DataFrame, path: str, dry_run: bool = False) -> int:
+    """``replace_tables`` for one table."""
+    return replace_tables({path: df}, dry_run)[path]
+
+
+def in_order(names, order: tuple[str, ...]) -> list[str]:
+    """Those of ``order`` that are among ``names``, then the others by name."""
+    names = set(names)
+    return [n for n in order if n in names] + sorted(names - set(order))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -55,9 +99,26 @@ def export_tables(spark: SparkSession, tables: dict[str, DataFrame], target: str
 
 
 def graph_json(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """A browser graph: one JSON object with nodes and edges. For filtered graphs of a few thousand edges."""
+    """A browser graph: one JSON object with nodes and edges, for a path the driver can write.
+
+    Rows come to the driver a partition at a time and go straight to the file, so it never holds the graph.
+    """
     with open(path, "w", encoding="utf-8") as f:
-        json.dump({"nodes": [r.asDict(True) for r in nodes.collect()], "edges": [r.asDict(True) for r in edges.collect()]}, f, ensure_ascii=False)
+        for k, (name, df) in enumerate((("nodes", nodes), ("edges", edges))):
+            f.write(f'{", " if k else "{"}"{name}": [')
+            for i, row in enumerate(df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator()):
+                f.write((", " if i else "") + row["j"])
+            f.write("]")
+        f.write("}")
+
+
+def ranked_csv(scores: DataFrame, path: str, score: str = "score", key: str = "id") -> None:
+    """CSV of scores with four decimals, best first, ties by key, with the rank as the first column."""
+    from tidemark.operators.ranges import numbered
+
+    got = numbered(scores, [F.desc_nulls_last(score), F.asc(key)], "rank")
+    plain = [F.format_string("%.4f", F.col(c)).alias(c) if t in ("double", "float") else F.col(c) for c, t in got.dtypes if c != "rank"]
+    got.select("rank", *plain).write.mode("overwrite").option("header", True).csv(path)
 
 
 def ddl(df: DataFrame, name: str, key: list[str]) -> str:

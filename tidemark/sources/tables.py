@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -17,6 +18,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def register(spark: SparkSession, folder: str, names: list[str] | None = None) -> None:
-    """Register the tables of ``folder`` as temporary views for SQL."""
+    """Register the tables of ``folder`` as temporary views for SQL; without ``names`` those of the catalogue that exist."""
     for name in names or TABLES:
-        table(spark, folder, name).createOrReplaceTempView(name)
+        try:
+            found = table(spark, folder, name)
+        except AnalysisException:
+            if names:
+                raise
+            continue
+        found.createOrReplaceTempView(name)
