@@ -130,3 +130,73 @@ def test_tools_answer(spark, tmp_path):
     assert tools.sql_json(spark, "SELECT 1 AS k WHERE false") == "[]"
     assert tools.call(spark, str(tmp_path), "nothing", {}).startswith("Error") and tools.call(spark, str(tmp_path), "query_database", {}).startswith("Error")
     assert "7" in tools.call(spark, str(tmp_path), "query_database", {"sql": "SELECT 7 AS x"})
+
+
+def test_records_with_texts_or_lists(spark, tmp_path):
+    path = write(tmp_path / "p.json", [
+        {"id": "a", "name": ["Ann", "Anna"], "birth": "May 1st", "blood_type": "X\nF", "bounty": ["¥5,000", "¥7"], "age": ["17 (debut)", "19"], "occupation": ["Cook", "Spy"], "is_likely_character": False},
+        {"id": "b", "ename": "Bo", "blood type": ["S (RH-)"], "bounty": "Unknown;30", "age": "Over 100"}, {"id": "c", "name": " ", "age": []}, {"id": "Buggy", "bounty": "¥1"},
+    ])
+    got = {r["id"]: r.asDict() for r in loaders.character_records(spark, path).collect()}
+    assert {k: got["a"][k] for k in ("name", "birth", "blood_type", "blood_type_group", "bounties", "bounty", "age", "occupation", "is_likely_character", "scraping_status")} == {"name": "Ann", "birth": "May 1st", "blood_type": "X, F", "blood_type_group": "mixed", "bounties": "¥5,000;¥7", "bounty": 5000, "age": 19, "occupation": "Cook", "is_likely_character": False, "scraping_status": "success"}
+    assert (got["b"]["name"], got["b"]["blood_type"], got["b"]["blood_type_group"], got["b"]["bounty"], got["b"]["age"], got["b"]["is_likely_character"]) == ("Bo", "S (RH-)", "S", 30, 100, True)
+    assert got["c"]["name"] == "c" and got["c"]["age"] is None and got["Buggy"]["bounty"] == 3189000000
+    books = write(tmp_path / "v.json", [{"volume_number": 3, "english_title": "One"}, {"volume_number": "x"}, {}])
+    assert [tuple(r) for r in loaders.volumes(spark, books).collect()] == [(3, "One", None)]
+
+
+def test_rows_are_sent_in_batches(spark, tmp_path):
+    import sqlite3
+
+    path = str(tmp_path / "x.db")
+
+    def run(statement, rows=None):
+        con = sqlite3.connect(path, timeout=60)
+        with con:
+            con.executemany(statement, rows) if rows is not None else con.execute(statement)
+        con.close()
+
+    def connect(name, statement):
+        return lambda: lambda rows: run(statement, rows)
+
+    df = spark.range(1203).selectExpr("id", "cast(id % 7 as string) as v")
+    assert sinks.export_database({"t": (df, ["id"])}, run, connect, size=100) == {"t": 1203}
+    sinks.send_batches(spark.createDataFrame([(5, "new"), (9999, "x")], "id long, v string"), connect("t", sinks.upsert_statement("t", ["id", "v"], ["id"])))
+    con = sqlite3.connect(path)
+    assert list(con.execute("select count(*), max(case when id = 5 then v end) from t")) == [(1204, "new")]
+    assert sinks.upsert_statement("t", ["id"], ["id"], "%s") == 'INSERT INTO "t" ("id") VALUES (%s) ON CONFLICT ("id") DO NOTHING'
+    status = str(tmp_path / "status.json")
+    sinks.save_status(status, {"t": 1203}, "2024-01-01")
+    assert sinks.load_status(status)["t"]["rows"] == 1203 and sinks.load_status(str(tmp_path / "none.json")) == {}
+    report = {r["name"]: (r["ours"], r["exported"], r["in_sync"]) for r in sinks.status_report(spark, {"t": df, "u": df.limit(1)}, status).collect()}
+    assert report == {"t": (1203, 1203, True), "u": (1, None, False)}
+
+
+def test_crawls(spark, tmp_path):
+    answers = {None: {"members": [("brave", "A"), ("brave", "B")], "redirects": {"A": "Ann", "B": "C"}, "continue": "x"}, "x": {"members": [("calm", "D")], "redirects": {"C": "B"}, "continue": "y"}, "y": {"members": [("calm", "Ann")], "continue": "x"}}
+    assert loaders.category_members(answers.get) == {"brave": {"Ann", "B"}, "calm": {"D", "Ann"}}
+    pages = loaders.crawl(spark.createDataFrame([("p",), ("gone",)], "title string"), lambda names: {"p": "Lead [[x|y]].\n== One ==\nText\n== One ==\nMore"} if "p" in names else {}).collect()
+    assert [(r["page_id"], r["intro_text"], r["full_text"], json.loads(r["sections"])) for r in pages] == [("p", "Lead y.", "Lead y.\n\nText\n\nMore", {"One": "Text", "One_2": "More"})]
+    cast = spark.createDataFrame([(1, "a", "Zed"), (2, "a", "Ann"), (1, "b", "Bo"), (3, " ", "x")], "chapter int, id string, name string")
+    assert [(r["id"], r["name"]) for r in loaders.unique_members(cast, "id", [F.desc("chapter")], "name").collect()] == [("a", "Ann"), ("b", "Bo")]
+    (tmp_path / "t.csv").write_text("id,w\n1,2.5\n2,3\n")
+    assert dict(loaders.typed_csv(spark, str(tmp_path / "t.csv")).dtypes) == {"id": "int", "w": "double"}
+
+
+def test_templates():
+    from tidemark.functions import wikitext
+
+    text = 'x {{chapter box|title = [[A|b]]|ename=The {{nihongo|One|1}} end|vol=3}} {| class="CharTable"\n*[[Ann]] (first)\n*[[Bo (cook)|Bo]]\n|} {{open'
+    assert wikitext.chapter_box(text) == {"title": "b", "english_title": "The end", "vol": "3"} and wikitext.chapter_box("none {{Chapter Box") is None
+    assert wikitext.cast_table(text) == [("Ann", "/wiki/Ann", "first"), ("Bo", "/wiki/Bo_(cook)", "")]
+
+
+def test_edges_and_members(spark):
+    from tidemark.operators import merging, network
+
+    e = spark.createDataFrame([("a", "b", 3), ("a", "c", 1), ("c", "d", 9)], "source string, target string, weight int")
+    assert sorted(r[:2] for r in network.keep_edges(e, weight=2).collect()) == [("a", "b"), ("c", "d")]
+    assert [r[:2] for r in network.keep_edges(e, nodes=spark.createDataFrame([("a",), ("b",), ("c",)], "node string"), weight=2).collect()] == [("a", "b")]
+    arcs = spark.createDataFrame([("x", "old"), ("y", None), ("z", "z1")], "arc string, saga string")
+    sagas = spark.createDataFrame([("s2", ["x"]), ("s1", ["x", "y"])], "saga string, arcs array<string>")
+    assert sorted(tuple(r) for r in merging.link_members(arcs, sagas, "arc", "saga", "arcs").collect()) == [("x", "s1"), ("y", "s1"), ("z", "z1")]

@@ -83,6 +83,46 @@ def template_parameters(text: str) -> dict[str, str]:
     return out
 
 
+def find_template(text: str, name: str) -> dict[str, str] | None:
+    """Parameters of the first template whose name begins with ``name``, case aside; None if there is none or it never
+    closes."""
+    start = re.search(r"\{\{\s*" + re.escape(name), text, re.I)
+    if not start:
+        return None
+    depth, k = 0, start.start()
+    while k < len(text):
+        if text.startswith("{{", k):
+            depth, k = depth + 1, k + 2
+        elif text.startswith("}}", k):
+            depth, k = depth - 1, k + 2
+            if not depth:
+                return template_parameters(text[start.start() + 2 : k - 2])
+        else:
+            k += 1
+    return None
+
+
+#: Fields of a chapter template by the names it gives them.
+CHAPTER_BOX = {"title": "title", "ename": "english_title", "jname": "japanese_title", "vol": "vol", "chapter": "chapter", "page": "page", "date2": "date2", "jump": "jump"}
+
+
+def chapter_box(text: str) -> dict[str, str] | None:
+    """Cleaned fields of a chapter page's template."""
+    got = find_template(text, "Chapter Box")
+    return None if got is None else {name: clean(got[key]) for key, name in CHAPTER_BOX.items() if key in got}
+
+
+def cast_table(text: str) -> list[tuple[str, str, str]]:
+    """(name, address, note) of the links in tables of class CharTable; a note is the next parenthesis within the
+    hundred characters after its link."""
+    out = []
+    for table in re.findall(r'\{\|\s*class="CharTable"(.*?)\|\}', text, re.S | re.I):
+        for m in re.finditer(r"\[\[([^\]|]+)(?:\|([^\]]+))?\]\]", table):
+            note = re.search(r"\(([^)]+)\)", table[m.end() : m.end() + 100])
+            out.append(((m.group(2) or m.group(1)).strip(), "/wiki/" + m.group(1).replace(" ", "_"), note.group(1).strip() if note else ""))
+    return out
+
+
 def info_box(page: str) -> dict[str, str]:
     """``data-source`` fields of an info box; values of several lines keep the lines, reference marks go."""
     out = {}
@@ -115,3 +155,7 @@ sanitize_udf = _mapped(sanitize, T.StringType())
 sections_udf = _mapped(lambda t: [{"pos": k, "name": n, "text": x} for k, (n, x) in enumerate(sections(t), 1)], T.ArrayType(T.StructType().add("pos", "integer").add("name", "string").add("text", "string")))
 parameters_udf = _mapped(template_parameters, T.MapType(T.StringType(), T.StringType()))
 info_box_udf = _mapped(info_box, T.MapType(T.StringType(), T.StringType()))
+
+
+chapter_box_udf = _mapped(chapter_box, T.MapType(T.StringType(), T.StringType()))
+cast_table_udf = _mapped(lambda t: [dict(zip(("name", "url", "note"), c)) for c in cast_table(t)], T.ArrayType(T.StructType().add("name", "string").add("url", "string").add("note", "string")))

@@ -194,3 +194,10 @@ def section_changes(pages: DataFrame, shortest: int = 50, least: float = 0.95) -
     rows = pages.filter(F.col("sections").isNotNull()).select("page_id", "scraped_at", "sections")
     by_page = rows.repartition("page_id").sortWithinPartitions("page_id", "scraped_at", F.md5("sections"))
     return by_page.mapInArrow(run, f"page_id string, scraped_at {rows.schema['scraped_at'].dataType.simpleString()}, section string, change string")
+
+
+def link_members(members: DataFrame, groups: DataFrame, key: str, group: str, listed: str) -> DataFrame:
+    """``members`` with column ``group`` from the lists ``listed`` of ``groups(group, listed)``; what a list says wins over
+    what the member says, and of several lists the one of the least group."""
+    named = groups.select(F.col(group).alias("_g"), F.explode(listed).alias("_k")).groupBy("_k").agg(F.min("_g").alias("_g"))
+    return set_column(members, group, named.select(F.col("_k").alias(key), F.col("_g").alias(group)), key)

@@ -104,13 +104,20 @@ def evidence_edges(triples: DataFrame, relations: tuple[str, ...], least: float
     return top.join(text, key, "left").select(*key, "confidence", "chapter", F.substring(F.coalesce("evidence", F.lit("")), 1, longest).alias("evidence"))
 
 
-def keep_edges(edges: DataFrame, relations: list[str] | None = None, least: float | None = None) -> DataFrame:
-    """Optional filters, each skipped when not given."""
+def keep_edges(edges: DataFrame, relations: list[str] | None = None, least: float | None = None, nodes: DataFrame | None = None, weight: int | None = None) -> DataFrame:
+    """Optional filters, each skipped when not given: relations, least confidence, both ends among ``nodes(node)``, and
+    least weight."""
     conditions: list[Column] = []
     if relations is not None:
         conditions.append(F.col("relation").isin(relations))
     if least is not None:
         conditions.append(F.col("confidence") >= least)
+    if weight is not None:
+        conditions.append(F.col("weight") >= weight)
     for c in conditions:
         edges = edges.filter(c)
+    if nodes is not None:
+        source, target = ("subject", "object") if "subject" in edges.columns else ("source", "target")
+        for end in (source, target):
+            edges = edges.join(nodes.select(F.col("node").alias("_n")), F.col(end) == F.col("_n"), "left_semi")
     return edges

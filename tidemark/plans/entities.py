@@ -360,6 +360,11 @@ def importance_tiers(spark, d):
     return s.join(F.broadcast(scoring.cut_points(s, "score"))).select("id", "score", scoring.tier(F.col("score")).alias("tier"))
 
 
+@query(f"""WITH s AS ({_SCORE}), c AS (SELECT {_CUT} FROM s) SELECT CASE WHEN score >= cS THEN 'S' WHEN score >= cA THEN 'A' WHEN score >= cB THEN 'B' WHEN score >= cC THEN 'C' ELSE 'D' END AS tier, COUNT(*)::BIGINT AS n FROM s, c GROUP BY 1""")
+def tier_tally(spark, d):
+    return importance_tiers(spark, d).groupBy("tier").agg(F.count("*").alias("n"))
+
+
 @query(f"SELECT ROW_NUMBER() OVER (ORDER BY score DESC, id) AS rank, id, score FROM ({_SCORE}) ORDER BY score DESC, id LIMIT 100")
 def importance_ranked(spark, d):
     from pyspark.sql import Window

@@ -232,9 +232,12 @@ def entity_cast(spark, d):
     return cast_.join(table(spark, d, "characters").select("id", "name", "status"), F.col("character") == F.col("id"), "left").select("chapter", "character", "name", "status")
 
 
-@query("SELECT lower(trim(name)) AS name, COUNT(*)::BIGINT AS n FROM characters WHERE name IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1")
+@query(r"SELECT trim(array_to_string(list_sort(string_split(regexp_replace(lower(name), '[^\p{L}\p{N}]+', ' ', 'g'), ' ')), ' ')) AS name, COUNT(*)::BIGINT AS n FROM characters WHERE name IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1")
 def dup_names(spark, d):
-    return table(spark, d, "characters").filter(F.col("name").isNotNull()).groupBy(F.lower(F.trim("name")).alias("name")).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    """Names that several persons bear, case, separators and the order of the parts aside."""
+    parts = F.split(F.regexp_replace(F.lower("name"), r"[^\p{L}\p{N}]+", " "), " ")
+    folded = F.trim(F.array_join(F.array_sort(parts), " "))
+    return table(spark, d, "characters").filter(F.col("name").isNotNull()).groupBy(folded.alias("name")).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
 _ALIASES = "(SELECT id AS alias, canonical FROM characters JOIN (SELECT lower(trim(name)) AS k, MIN(id) AS canonical FROM characters WHERE name IS NOT NULL GROUP BY 1) ON lower(trim(name)) = k WHERE id <> canonical)"
@@ -397,6 +400,14 @@ def active_arcs(spark, d):
     return ranges.overlapping(span, "lo", "hi", arcs, "start", "end", ARC * 20).select("id", F.col("arc").cast("long").alias("arc"))
 
 
+@query("""SELECT c.chunk_id, w.title FROM wiki_chunks c JOIN (SELECT page_id, title FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY scraped_at DESC NULLS LAST, md5(COALESCE(full_text, '')) DESC) AS r FROM wiki_text WHERE page_id IS NOT NULL) WHERE r = 1) w USING (page_id)""")
+def active_chunks(spark, d):
+    """Chunks with the title of the page's open version."""
+    pages = table(spark, d, "wiki_text").filter(F.col("page_id").isNotNull()).withColumn("_h", F.md5(F.coalesce("full_text", F.lit(""))))
+    newest = merging.latest(pages.select("page_id", "title", "scraped_at", "_h"), ["page_id"], [F.desc_nulls_last("scraped_at"), F.desc("_h")]).select("page_id", "title")
+    return table(spark, d, "wiki_chunks").select("chunk_id", "page_id").join(newest, "page_id").select("chunk_id", "title")
+
+
 def queries() -> dict:
     return Q
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars, wikitext
 from tidemark.operators import chunks, merging, network, search
 from tidemark.plans import entities
-from tidemark.sources.tables import table
+from tidemark.sources.tables import TABLES, table
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -48,7 +50,16 @@ def doc_hash(spark, d):
     return table(spark, d, "documents").select("doc_id", scalars.text_hash(F.col("text")).alias("hash"))
 
 
-@query()
+_WIDE = r"\x{3000}-\x{9FFF}\x{FF00}-\x{FFEF}・"
+_LEAD = "intro_text"
+for _pattern, _by in (
+    (r"\[\s*\d+\s*\]", ""), (rf"\(\s*[{_WIDE}][^)]*\)", ""), (rf"[{_WIDE}]+", ""), (r"\s+", " "), (r"^ +| +$", ""), (r"\s+([,.;:!?])", r"\1"), (r"\s+([''\x{2019}])(\w)", r"\1\2"), (r"\s+-(\w)", r"-\1"),
+    (r"\b([A-Z])\.\s+([A-Z])", r"\1\x01 \2"), (r"([.!?])\s+", r"\1\x02"),
+):
+    _LEAD = f"regexp_replace({_LEAD}, '{_pattern}', " + "'" + _by.replace(r"\x01", "' || chr(1) || '").replace(r"\x02", "' || chr(2) || '") + "', 'g')"
+
+
+@query(rf"""SELECT page_id, scraped_at, CASE WHEN l <> '' AND NOT regexp_matches(intro_text, 'Statistics\s+Japanese Name:|Romanized Name:') THEN replace(trim(array_to_string(string_split(l, chr(2))[1:2], ' ')), chr(1), '.') END AS bio FROM (SELECT *, {_LEAD} AS l FROM wiki_text)""")
 def bio_first_sentences(spark, d):
     return table(spark, d, "wiki_text").select("page_id", "scraped_at", scalars.first_sentences(F.col("intro_text")).alias("bio"))
 
@@ -323,14 +334,22 @@ def stream_sliding(spark, d):
     return jobs.settled(jobs.sliding(_stream(spark, d)), spark).select(F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
-@query("""SELECT 'region' AS name, (SELECT COUNT(*) FROM region)::BIGINT AS ours, (SELECT COUNT(*) FROM region WHERE r_regionkey <> 2)::BIGINT AS theirs, FALSE AS in_sync
-UNION ALL SELECT 'nation', (SELECT COUNT(*) FROM nation)::BIGINT, (SELECT COUNT(*) FROM nation)::BIGINT, TRUE""")
+_COPIES = " UNION ALL ".join(f"SELECT '{t}' AS name, (SELECT COUNT(*) FROM {t})::BIGINT AS ours, (SELECT COUNT(*) FROM {t}{' WHERE r_regionkey <> 2' if t == 'region' else ''})::BIGINT AS theirs, {'FALSE' if t == 'region' else 'TRUE'} AS in_sync" for t in TABLES)
+
+
+@query(_COPIES)
 def export_diff(spark, d):
-    """Row counts and content hashes of two copies."""
+    """Row counts and contents of every table and of a copy, in which one table lacks a row."""
     from tidemark.sources.sinks import difference
 
-    r, n = table(spark, d, "region"), table(spark, d, "nation")
-    return difference("region", r, r.filter("r_regionkey <> 2")).unionByName(difference("nation", n, n)).select("name", "ours", "theirs", "in_sync")
+    copy = lambda name, df: df.filter("r_regionkey <> 2") if name == "region" else df
+    parts = [difference(name, df, copy(name, df)) for name in TABLES for df in [table(spark, d, name)]]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("name", "ours", "theirs", "in_sync")
+
+
+@query("SELECT id, len(aliases)::BIGINT AS n FROM graph_nodes WHERE len(aliases) >= 2")
+def many_aliases(spark, d):
+    return table(spark, d, "graph_nodes").filter(F.size("aliases") >= 2).select("id", F.size("aliases").cast("long").alias("n"))
 
 
 @query("""SELECT l_returnflag, l_linestatus, ROUND(SUM(l_quantity), 2) AS sum_qty, ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price, ROUND(AVG(l_discount), 6) AS avg_disc, COUNT(*)::BIGINT AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2""")

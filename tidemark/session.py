@@ -61,14 +61,19 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if not _WRITTEN:
-        atexit.register(_discard_all)
-    _WRITTEN[path] = spark
+    track(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
 
 
+def track(spark: SparkSession, path: str) -> None:
+    """``path`` goes when the process ends."""
+    if not _WRITTEN:
+        atexit.register(_discard_all)
+    _WRITTEN[path] = spark
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table that ``materialize`` wrote for ``df``; nothing may read it any more."""
     path = getattr(df, "_scratch", None)

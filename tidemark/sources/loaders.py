@@ -10,14 +10,16 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
-from tidemark.functions.wikitext import info_box_udf
+from tidemark.functions.wikitext import info_box_udf, sections_udf
 from tidemark.operators import scoring
+from tidemark.operators.merging import latest, resolve_aliases
 
 _CHAPTER = "chapter_number string, title string, japanese_title string, volume string, pages string, release_date string, jump_info string, characters array<string>"
 _ARC = "arc_id string, saga_id string, title string, japanese_title string, romanized_title string, start_chapter int, end_chapter int, description string"
@@ -43,6 +45,37 @@ def chapters(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows, cast_
 
 
+def volumes(spark: SparkSession, path: str) -> DataFrame:
+    """Volume rows; an element without a readable number is left out."""
+    raw = json_array(spark, path, "volume_number string, english_title string, japanese_title string")
+    return raw.select(F.col("volume_number").try_cast("int").alias("number"), F.col("english_title").alias("title"), "japanese_title").filter(F.col("number").isNotNull())
+
+
+_RECORD = "id string, name string, ename string, origin string, status string, birth string, `blood type` string, blood_type string, bounty string, age string, occupation string, is_likely_character boolean"
+
+
+def character_records(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the list of persons, every field normalized; a value may be a text or a list of texts.
+
+    Of a list the first text counts for a plain field; money, ages and blood types read its texts as lines. A record is a
+    person unless it says otherwise, and it is 'success' if it states anything besides its id.
+    """
+    raw = json_array(spark, path, _RECORD)
+    listed = lambda c: F.from_json(F.when(F.col(c).startswith("["), F.col(c)), "array<string>")
+    first = lambda c: F.coalesce(scalars.first_of(listed(c)), F.when(~F.col(c).startswith("["), F.col(c)))
+    lines = lambda c: F.coalesce(F.array_join(listed(c), "\n"), F.col(c))
+    raw = raw.withColumn("_blood", F.coalesce(lines("`blood type`"), lines("blood_type")))
+    stated = ["name", "origin", "status", "birth", "_blood", "bounty", "age"]
+    fields = {c: first(c) for c in ("origin", "status", "birth", "occupation")}
+    some = reduce(lambda a, b: a | b, [~scalars.blank(F.col(c)) for c in stated])
+    return raw.select(
+        "id", scalars.name_of(first("name"), first("ename"), F.col("id")).alias("name"), *[v.alias(c) for c, v in fields.items() if c != "occupation"],
+        scalars.blood_types(F.col("_blood")).alias("blood_type"), scalars.blood_group(F.col("_blood")).alias("blood_type_group"),
+        scalars.money_text(lines("bounty")).alias("bounties"), scalars.first_money(lines("bounty"), F.col("id")).alias("bounty"), scalars.highest_age(lines("age")).alias("age"), fields["occupation"].alias("occupation"),
+        F.coalesce("is_likely_character", F.lit(True)).alias("is_likely_character"), F.when(some, "success").otherwise("failed_unknown").alias("scraping_status"),
+    )
+
+
 def covers(spark: SparkSession, path: str) -> DataFrame:
     """Cover rows of a volume file: the slug if there is one, else the name; blank ones are left out, repeats stay."""
     v = json_array(spark, path, "volume_number int, english_title string, japanese_title string, cover_characters array<struct<name: string, slug: string>>")
@@ -171,3 +204,55 @@ def chapter_facts(pages: DataFrame, html: str = "html") -> DataFrame:
     got = pages.withColumn("_box", info_box_udf(html))
     fields = [F.trim(F.regexp_replace(F.col("_box")[k], r"\[ref\]", "")).alias(v) for k, v in CHAPTER_FIELDS.items()]
     return got.select(*[c for c in pages.columns if c != html], *fields)
+
+
+def typed_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV with header whose column types are found from its values."""
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+def follow(get, most: int = 10_000):
+    """Answers of ``get(token)`` from the first (token None) on, as long as each names a next one under 'continue'.
+
+    A token that comes again ends it, and so do ``most`` answers.
+    """
+    token, met = None, set()
+    for _ in range(most):
+        answer = get(token)
+        yield answer
+        token = answer.get("continue")
+        if token is None or token in met:
+            return
+        met.add(token)
+
+
+def category_members(get) -> dict[str, set[str]]:
+    """Names by category over all answers of ``get(token) -> {'members': [(category, name)], 'redirects': {from: to},
+    'continue': token}``; names are followed through redirects, whose cycles end at their least name."""
+    members: list[tuple[str, str]] = []
+    moved: dict[str, str] = {}
+    for answer in follow(get):
+        members += answer.get("members", [])
+        moved |= answer.get("redirects", {})
+    ends = resolve_aliases(moved)
+    out: dict[str, set[str]] = {}
+    for category, name in members:
+        out.setdefault(category, set()).add(ends.get(name, name))
+    return out
+
+
+def crawl(titles: DataFrame, fetch, batch: int = 50, streams: int = 4) -> DataFrame:
+    """``page_id, intro_text, full_text, sections`` of the pages of ``titles(title)``, fetched, cleaned and cut into
+    sections (a JSON object of name and text); pages that are not there are left out."""
+    got = fetch_pages(titles, fetch, batch, streams).filter(F.col("text").isNotNull())
+    cut = got.select(F.col("title").alias("page_id"), sections_udf("text").alias("s"))
+    pairs = F.filter("s", lambda x: x["name"] != "intro")
+    intro = F.get(F.transform(F.filter("s", lambda x: x["name"] == "intro"), lambda x: x["text"]), F.lit(0))
+    whole = F.array_join(F.transform("s", lambda x: x["text"]), "\n\n")
+    sections = F.to_json(F.map_from_entries(F.transform(pairs, lambda x: F.struct(x["name"], x["text"]))))
+    return cut.select("page_id", intro.alias("intro_text"), whole.alias("full_text"), sections.alias("sections"))
+
+
+def unique_members(cast: DataFrame, key: str, order: list[Column], name: str) -> DataFrame:
+    """One row per ``key``, the last by ``order``, sorted by ``name``: the list of all that a set of chapters names."""
+    return latest(cast.filter(~scalars.blank(F.col(key))), [key], order).orderBy(name, key)

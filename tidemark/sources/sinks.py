@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,3 +134,68 @@ def ddl(df: DataFrame, name: str, key: list[str]) -> str:
     if key:
         lines.append("PRIMARY KEY (" + ", ".join(f'"{k}"' for k in key) + ")")
     return f'CREATE TABLE "{name}" (' + ", ".join(lines) + ")"
+
+
+def upsert_statement(name: str, columns: list[str], key: list[str], mark: str = "?") -> str:
+    """An insert that replaces the row of the same key, or leaves it if there are no other columns."""
+    quoted = lambda cs: ", ".join(f'"{c}"' for c in cs)
+    rest = [c for c in columns if c not in key]
+    action = "DO UPDATE SET " + ", ".join(f'"{c}" = excluded."{c}"' for c in rest) if rest else "DO NOTHING"
+    return f'INSERT INTO "{name}" ({quoted(columns)}) VALUES ({", ".join([mark] * len(columns))}) ON CONFLICT ({quoted(key)}) {action}'
+
+
+def send_batches(df: DataFrame, connect, size: int = 500, streams: int = 4) -> int:
+    """Rows sent in batches of ``size`` by ``streams`` tasks: each opens ``connect() -> send(list of tuples)`` once.
+
+    A task that is run again sends its rows again, so ``send`` should upsert. The sent rows are counted.
+    """
+    names = df.columns
+
+    def run(batches):
+        import pyarrow as pa
+
+        send, held, sent = connect(), [], 0
+        for batch in batches:
+            held += zip(*(batch.column(c).to_pylist() for c in range(len(names))))
+            while len(held) >= size:
+                send(held[:size])
+                held, sent = held[size:], sent + size
+        if held:
+            send(held)
+        yield pa.RecordBatch.from_arrays([pa.array([sent + len(held)])], ["n"])
+
+    return df.coalesce(streams).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def export_database(tables: dict[str, tuple[DataFrame, list[str]]], execute, connect, size: int = 1000) -> dict[str, int]:
+    """Full export of ``tables`` (frame and key by name): each table is dropped and created by ``execute(statement)`` and
+    filled in batches by ``connect(name, statement) -> (() -> send)``; rows sent, by table."""
+    done = {}
+    for name, (df, key) in tables.items():
+        execute(f'DROP TABLE IF EXISTS "{name}"')
+        execute(ddl(df, name, key))
+        done[name] = send_batches(df, connect(name, upsert_statement(name, df.columns, key)), size)
+    return done
+
+
+def save_status(path: str, rows: dict[str, int], at: str) -> None:
+    """Adds to the status file what was exported when."""
+    status = load_status(path) | {name: {"rows": n, "exported_at": at} for name, n in rows.items()}
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(status, f, indent=1, sort_keys=True)
+
+
+def load_status(path: str) -> dict[str, dict]:
+    """The status file; a missing one is empty."""
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def status_report(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> DataFrame:
+    """``name, ours, exported, in_sync``: row counts now and at the last export; a table never exported has null."""
+    known = load_status(path)
+    rows = [(name, df.count(), known.get(name, {}).get("rows")) for name, df in tables.items()]
+    got = spark.createDataFrame(rows, "name string, ours long, exported long")
+    return got.withColumn("in_sync", F.coalesce(F.col("ours") == F.col("exported"), F.lit(False)))

@@ -80,9 +80,10 @@ def settled(stream: DataFrame, spark: SparkSession) -> DataFrame:
     """Runs an aggregation over all that is there now and returns its complete result."""
     import uuid
 
-    from tidemark.session import scratch_dir
+    from tidemark.session import scratch_dir, track
 
     out = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
+    track(spark, out)
     query = (
         stream.writeStream.outputMode("complete").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
         .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{out}/result")).start()
