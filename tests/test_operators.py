@@ -159,4 +159,4 @@ def test_chunks(spark):
     assert sorted((r["i"], r["part"], len(r["chunk"])) for r in chunks.fixed_windows(d, "i", "t").collect()) == [(1, 0, 3200), (1, 1, 3200), (1, 2, 401), (4, 0, 1)]
     names = spark.createDataFrame([(1, "Ann Lee"), (2, "Lee"), (3, None), (4, "x")], "id int, name string")
     texts = spark.createDataFrame([(7, "ann lee met LEE."), (8, "Leeward"), (9, None)], "doc_id long, text string")
-    assert sorted(map(tuple, chunks.link_names(texts, names, shard=1).collect())) == [(7, 1), (7, 2)]
+    assert sorted(map(tuple, chunks.link_names(texts, names, most=1).collect())) == [(7, 1), (7, 2)]

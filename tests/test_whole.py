@@ -51,7 +51,10 @@ def test_entity_link_takes_aliases_and_every_node(spark, tmp_path):
     want = [(10, 1), (10, 3), (11, 1), (11, 2), (11, 4), (11, 6), (12, 5)]
     assert rows(texts.queries()["entity_link"](spark, d)) == want
     names = spark.createDataFrame([(i, n) for i, c, al in nodes for n in [c, *(al or [])]], "id int, name string")
-    assert rows(chunks.link_names(spark.createDataFrame(documents, "doc_id long, text string"), names, shard=2)) == want
+    assert rows(chunks.link_names(spark.createDataFrame(documents, "doc_id long, text string"), names, most=2)) == want
+    odd = spark.createDataFrame([(1, "★★"), (2, "a.b"), (3, "(the sea)"), (4, "sea"), (5, "deep sea dog")], "id int, name string")
+    papers = spark.createDataFrame([(1, "x★★y A.B! (The Sea)"), (2, "a.bc ★ seaside"), (3, "Deep  sea; deep sea dog"), (4, "")], "doc_id long, text string")
+    assert rows(chunks.link_names(papers, odd)) == rows(chunks.link_names(papers, odd, most=0)) == [(1, 2), (1, 3), (1, 4), (3, 4), (3, 5)]
 
 
 def test_every_section_of_every_scrape_meets_the_open_version(spark, tmp_path):
