@@ -133,11 +133,9 @@ def pack(items: DataFrame, limits: DataFrame, id_col: str = "doc_id", buckets: i
     caps = {r["pack_name"]: int(r["capacity_tokens"]) for r in limits.filter(F.col("capacity_tokens") >= 1).collect()}
     spark = items.sparkSession
     base = items.select(F.col(id_col).alias("id"), "tokens").filter(F.col("tokens") > 0)
-    table = F.broadcast(spark.createDataFrame(list(caps.items()) or [("", 1)], "pack_name string, capacity int"))
-    if not caps:
-        table = table.limit(0)
+    kinds = F.array(*[F.struct(F.lit(name).alias("pack_name"), F.lit(cap).alias("capacity")) for name, cap in (caps or {"": 1}).items()])
     piece = F.col("piece")
-    every = base.join(table).withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("tokens") / F.col("capacity")).cast("int") - 1)))
+    every = (base if caps else base.limit(0)).select("id", "tokens", F.inline(kinds)).withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("tokens") / F.col("capacity")).cast("int") - 1)))
     every = every.select("pack_name", "id", piece, (piece * F.col("capacity")).cast("long").alias("start_token"), F.least("tokens", (piece + 1) * F.col("capacity")).cast("long").alias("end_token"))
     every = every.withColumn("size", (F.col("end_token") - F.col("start_token")).cast("int"))
     hist = every.groupBy("pack_name", "size").agg(F.count("*").alias("n")).toArrow().to_pydict()
