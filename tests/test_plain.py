@@ -159,3 +159,25 @@ def test_plain_amounts(spark):
         if not re.search(r"\d|[０-９]", r["height"] or ""):
             assert ("height", r["rec_id"]) not in got
     assert n > 0
+
+
+LONG = ["(" * 100_000, "“;" * 50_000, " " * 100_000, "(a)" * 33_000, "k" * 100_000, "1 " + "word " * 20_000, "b" * 100_000 + " x 5", "[[" * 50_000, "<ref>" * 20_000, "; (" * 33_000, " [1" * 33_000, "{{" * 50_000]
+
+
+@pytest.mark.parametrize("text", LONG, ids=[t[:4].strip() or "blank" for t in LONG])
+def test_very_long_texts_take_linear_time(text):
+    import time
+
+    from tidemark.functions import grammars, wikitext
+    from tidemark.operators import packed_values, units
+
+    factors = [{"unit": "metre", "quantity": q, "symbol": "m", "factor_num": 1, "factor_den": 1} for q in ("height", "bounty")]
+    began = time.process_time()
+    packed_values.cover(text, [])
+    packed_values.quoted_values(text)
+    for q in ("height", "bounty"):
+        units.amounts(text, units.Units(q, factors), None)
+    grammars.affiliation(text)
+    grammars.occupations(text)
+    wikitext.clean(text)
+    assert time.process_time() - began < 20

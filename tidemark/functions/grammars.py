@@ -100,17 +100,26 @@ def _without_readings(text: str) -> str:
 
 def _role(entry: str) -> tuple[str, str] | None:
     """(role, status): parentheses at the end are peeled off, of the known words in them the first by rank counts."""
-    found = []
-    trim = lambda t: t.strip().rstrip("?≠").strip()
-    entry = trim(entry)
-    while entry.endswith(")") and (spans := _groups(entry)) and spans[-1][1] == len(entry):
-        a = spans[-1][0]
-        words = [w.strip().lower() for w in entry[a + 1 : -1].split(",")]
+    found, end = [], len(entry.rstrip(" \t\n?≠"))
+    for a, b in reversed(_groups(entry[:end])):
+        if b != end or entry[b - 1] != ")":
+            break
+        words = [w.strip().lower() for w in entry[a + 1 : b - 1].split(",")]
         found += [k for w in words if (k := SAME.get(w, w)) in _RANK_OF_ROLE]
-        entry = trim(entry[:a])
+        while a and (entry[a - 1].isspace() or entry[a - 1] in "?≠"):
+            a -= 1
+        end = a
+    entry = entry[:end].strip()
     return (entry, min(found, key=_RANK_OF_ROLE.get) if found else "current") if entry else None
 
 
+def _ends_in_parenthesis(part: str) -> bool:
+    """Whether the part ends with a parenthesis that holds something and no other one's end."""
+    part = part.rstrip()
+    at = part.find("(", part.rfind(")", 0, -1) + 1) if part.endswith(")") else -1
+    return 0 <= at < len(part) - 2
+
+
 def occupations(raw: str | None, identifier: str | None = None) -> list[tuple[str, str]]:
     """(role, status) of every role of an occupation field, in order.
 
@@ -122,7 +131,7 @@ def occupations(raw: str | None, identifier: str | None = None) -> list[tuple[st
     out = []
     for entry in entries:
         parts = _outside(entry, ",") if "(" in entry else [entry]
-        stated = sum(bool(re.search(r"\([^)]+\)\s*$", p)) for p in parts)
+        stated = sum(map(_ends_in_parenthesis, parts))
         for part in parts if len(parts) > 1 and stated >= len(parts) - 1 else [entry]:
             if got := _role(part):
                 out.append(got)

@@ -33,14 +33,20 @@ def drop_nested(text: str, opening: str, closing: str) -> str:
     return "".join(out)
 
 
+def _sub(pattern: str, by, text: str, closing: str, flags: int = 0) -> str:
+    """``re.sub`` up to the last ``closing`` mark, which every match ends with; nothing is looked for behind it."""
+    k = text.rfind(closing) + len(closing) if closing in text else 0
+    return re.sub(pattern, by, text[:k], flags=flags) + text[k:]
+
+
 def clean(text: str) -> str:
-    text = re.sub(r"<!--.*?-->", "", text, flags=re.S)
+    text = _sub(r"<!--.*?-->", "", text, "-->", re.S)
     text = drop_nested(drop_nested(text, "{{", "}}"), "{|", "|}")
-    text = re.sub(r"<ref[^>/]*/>|<ref[^>]*>.*?</ref>", "", text, flags=re.S)
-    text = re.sub(r"\[\[(?:Category|File|Image):[^\[\]]*(?:\[\[[^\]]*\]\][^\[\]]*)*\]\]", "", text)
-    text = re.sub(r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", r"\1", text)
-    text = re.sub(r"\[https?://\S+\s+([^\]]*)\]|\[https?://\S+\]", lambda m: m.group(1) or "", text)
-    text = html.unescape(re.sub(r"<[^>]+>", "", re.sub(r"'{2,}", "", text)))
+    text = _sub(r"<ref[^>]*>.*?</ref>", "", _sub(r"<ref[^>/]*/>", "", text, "/>"), "</ref>", re.S)
+    text = _sub(r"\[\[(?:Category|File|Image):[^\[\]]*(?:\[\[[^\]]*\]\][^\[\]]*)*\]\]", "", text, "]]")
+    text = _sub(r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", r"\1", text, "]]")
+    text = _sub(r"\[https?://\S+\s+([^\]]*)\]|\[https?://\S+\]", lambda m: m.group(1) or "", text, "]")
+    text = html.unescape(_sub(r"<[^>]+>", "", re.sub(r"'{2,}", "", text), ">"))
     return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", text)).strip()
 
 

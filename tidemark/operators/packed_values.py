@@ -36,42 +36,41 @@ KNOWN, UNKNOWN = 0.5, 1.0
 
 _OPEN, _CLOSE = "(（", ")）"
 _QUOTES = {'"': '"', "“": "”"}
-_MARK = re.compile(r"\s*\[\d+\]")
-_REMARK = re.compile(r"\s*[（(][^()（）]*(?:[（(][^()（）]*[)）][^()（）]*)*[)）]\s*$")
+#: White space before a mark is taken from its start, so a long run of it is read once.
+_MARK = re.compile(r"(?<!\s)\s*\[\d+\]")
+_REMARK = re.compile(r"(?<!\s)\s*[（(][^()（）]*(?:[（(][^()（）]*[)）][^()（）]*)*[)）]\s*$")
 
 
 def _closing_quote(text: str, at: int) -> int:
     """Index of the mark that closes the one at ``at``, or -1; a doubled mark is a literal one."""
     close = _QUOTES[text[at]]
-    k = at + 1
-    while k < len(text):
-        if text[k] == close:
-            if close == '"' and text[k + 1 : k + 2] == '"':
-                k += 2
-                continue
-            return k
-        k += 1
-    return -1
-
-
-def _closing_paren(text: str, at: int) -> int:
-    depth = 0
-    for k in range(at, len(text)):
-        depth += (text[k] in _OPEN) - (text[k] in _CLOSE)
-        if not depth:
-            return k
-    return -1
+    k = text.find(close, at + 1)
+    while k >= 0 and close == '"' and text[k + 1 : k + 2] == '"':
+        k = text.find(close, k + 2)
+    return k
+
+
+def _closings(text: str) -> dict[int, int]:
+    """Index of the closing mark of every parenthesis that is closed."""
+    out, open_ = {}, []
+    for m in re.finditer(r"[(（)）]", text):
+        if m.group() in _OPEN:
+            open_.append(m.start())
+        elif open_:
+            out[open_.pop()] = m.start()
+    return out
 
 
 def delimiters(text: str) -> list[tuple[int, int]]:
     """Spans of the delimiters that may separate values."""
-    out, k, fresh = [], 0, True
+    out, k, fresh, closed = [], 0, True, _closings(text)
+    last = {q: text.rfind(close) for q, close in _QUOTES.items()}
     while k < len(text):
         c = text[k]
-        if c in _QUOTES and fresh and (end := _closing_quote(text, k)) > 0:
+        if c in _QUOTES and fresh and last[c] > k and (end := _closing_quote(text, k)) > 0:
             k, fresh = end + 1, False
             continue
-        if c in _OPEN and (end := _closing_paren(text, k)) > 0:
+        if c in _OPEN and (end := closed.get(k, 0)) > 0:
             k, fresh = end + 1, False
             continue
         grouped = c == "," and k and text[k - 1].isdigit() and text[k + 1 : k + 4].isdigit() and len(text[k + 1 : k + 4]) == 3 and not text[k + 4 : k + 5].isdigit()

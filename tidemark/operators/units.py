@@ -48,6 +48,10 @@ PER_MORPHEME = -1.0
 OTHER_DIMENSION, LEAST_SCORE = -20.0, -15.0
 
 
+#: Most letters and words of a unit string; what is longer is none.
+LONGEST, MOST_WORDS = 64, 8
+
+
 class Trie:
     def __init__(self, words) -> None:
         self.root: dict = {}
@@ -92,6 +96,8 @@ class Units:
     def decompose(self, text: str) -> tuple[Fraction, str | None] | None:
         """(factor, unit or None if only a scale) of the likeliest decomposition, or None."""
         text = re.sub(r"[\s.]+", "", text)
+        if len(text) > LONGEST:
+            return None
         if text not in self.seen:
             self.seen[text] = self._search(text) or self._search(text.lower())
         return self.seen[text]
@@ -158,21 +164,23 @@ def amounts(text: str | None, units: Units, default: tuple[Fraction, str | None]
     if not text:
         return out
     for part in re.split(r"[;；\n\r]+", text):
-        part = _REMARKS.sub(" ", part)
+        # No remark ends after the last closing mark, so nothing is looked for there.
+        closed = max(map(part.rfind, ")）]")) + 1
+        part = _REMARKS.sub(" ", part[:closed]) + part[closed:]
         # Prime marks and raised digits are kept from the compatibility form, which writes them as others.
         part = "".join(c if c in "\u2032\u2033²³" else unicodedata.normalize("NFKC", c) for c in part)
         numbers = list(_NUMBER.finditer(part))
         if not numbers:
             continue
-        lead = re.search(r"([^\s\d]+)\s*$", part[: numbers[0].start()])
-        before = units.decompose(lead.group(1).lstrip("~★")) if lead and units.quantity == "bounty" else None
+        lead = re.match(r"\s*([^\s\d]+)", part[: numbers[0].start()][::-1])
+        before = units.decompose(lead.group(1)[::-1].lstrip("~★")) if lead and units.quantity == "bounty" else None
         if before and before[1] is None:
             before = None
         total, last, good = Fraction(0), None, True
         for k, m in enumerate(numbers):
             gap = part[m.end() : numbers[k + 1].start() if k + 1 < len(numbers) else len(part)]
             words = re.sub(r"\band\b|[,&+]|~", " ", gap).split()
-            unit, used = None, len(words)
+            unit, used = None, min(len(words), MOST_WORDS)
             while used and unit is None:
                 unit = units.decompose("".join(words[:used]))
                 used -= unit is None
