@@ -189,27 +189,37 @@ def shared_blocks(texts: DataFrame, copied: DataFrame, min_len: int = MIN_LEN, s
     return got.withColumn("g", F.xxhash64("body")).drop("body")
 
 
-def lists_of(rows: DataFrame, keys: list[str], item: str, chunk: int = CHUNK) -> DataFrame:
-    """``keys, s, parts, items``: the items of each key in ``parts`` lists of about ``chunk``."""
-    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(chunk)).cast("int").alias("parts"))
-    placed = rows.select(*keys, item).join(sizes, keys).withColumn("s", F.pmod(F.xxhash64(item), F.col("parts")).cast("int"))
-    return placed.groupBy(*keys, "parts", "s").agg(F.collect_list(item).alias("items"))
+def lists_of(rows: DataFrame, keys: list[str], item: str, chunk: int | None = None) -> DataFrame:
+    """``keys, items``: the items of each key in lists of about ``chunk``."""
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(chunk or CHUNK)).cast("int").alias("_parts"))
+    placed = rows.select(*keys, item).join(sizes, keys).withColumn("_s", F.pmod(F.xxhash64(item), F.col("_parts")).cast("int"))
+    return placed.groupBy(*keys, "_s").agg(F.collect_list(item).alias("items")).drop("_s")
 
 
 def spread_out(pairs_of_lists: DataFrame) -> DataFrame:
-    """``x, y`` of rows with lists ``a`` and ``b``; the rows are dealt out to all tasks before they unfold."""
-    dealt = pairs_of_lists.repartition(F.xxhash64("a", "b"))
+    """``x, y`` of rows with lists ``a`` and ``b``; the rows are dealt out to all tasks before they unfold.
+
+    The number of partitions is given, as small lists would else be put together although they unfold to many pairs.
+    """
+    tasks = int(pairs_of_lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pairs_of_lists.repartition(tasks, F.xxhash64("a", "b"))
     return dealt.withColumn("x", F.explode("a")).withColumn("y", F.explode("b")).drop("a", "b")
 
 
-def pairs_within(rows: DataFrame, keys: list[str], item: str, chunk: int = CHUNK) -> DataFrame:
-    """``keys, x < y``: pairs of different items of a key, for distinct ``rows(keys, item)``; lists meet lists."""
-    many = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(*keys)
-    lists = lists_of(rows.join(many, keys, "left_semi"), keys, item, chunk)
-    left = lists.select(*keys, F.col("items").alias("a"), F.col("s").alias("i"), F.explode(F.sequence("s", F.col("parts") - 1)).alias("s"))
-    right = lists.select(*keys, "s", F.col("items").alias("b"))
-    met = left.join(right, [*keys, "s"]).withColumn("same", F.col("i") == F.col("s")).select(*keys, "same", "a", "b")
-    got = spread_out(met).filter(~F.col("same") | (F.col("x") < F.col("y")))
+def pairs_within(rows: DataFrame, keys: list[str], item: str, chunk: int | None = None) -> DataFrame:
+    """``keys, x < y``: pairs of different items of a key, for distinct ``rows(keys, item)``.
+
+    The items of a key are in lists of about ``chunk``; each list meets itself and every other one in a row of its own.
+    """
+    many = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    placed = rows.select(*keys, item).join(many.select(*keys, F.ceil(F.col("_n") / F.lit(chunk or CHUNK)).cast("int").alias("_parts")), keys)
+    placed = placed.withColumn("_s", F.pmod(F.xxhash64(item), F.col("_parts")).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    placed = placed.withColumn("_i", F.least("_s", "_o")).withColumn("_j", F.greatest("_s", "_o"))
+    first = F.col("_s") == F.col("_i")
+    met = placed.groupBy(*keys, "_i", "_j").agg(F.collect_list(F.when(first, F.col(item))).alias("a"), F.collect_list(F.when(~first, F.col(item))).alias("b"))
+    same = F.col("_i") == F.col("_j")
+    met = met.select(*keys, same.alias("_same"), "a", F.when(same, F.col("a")).otherwise(F.col("b")).alias("b"))
+    got = spread_out(met).filter(~F.col("_same") | (F.col("x") < F.col("y")))
     return got.select(*keys, F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
@@ -260,9 +270,9 @@ class Parsed:
         need = min_len - seed
         texts = long_texts(docs, min_len)
         classes = texts.groupBy("t", "t2").agg(F.min("doc_id").cast("long").alias("rep"), F.max("doc_id").alias("hi")).filter(F.col("rep") < F.col("hi"))
-        copied = materialize(classes.select("t", "t2", "rep"), "classes")
-        member = texts.select("doc_id", "t", "t2", F.length("text").alias("n")).join(copied, ["t", "t2"])
-        self.copies = materialize(member.select(F.col("doc_id").cast("long"), "rep", "n").distinct(), "copies")
+        member = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "t", "t2", F.length("text").alias("n")).join(classes.select("t", "t2", "rep"), ["t", "t2"])
+        self.copies = materialize(member.select("doc_id", "rep", "n", "t").distinct(), "copies")
+        copied = self.copies.filter(F.col("doc_id") == F.col("rep")).select("t", "rep")
         places = shared_blocks(texts, copied, min_len, seed).withColumn("block", F.xxhash64("h", "g", "left", "right")).distinct()
         self.places = materialize(places, "places")
         blocks = self.places.groupBy("block", "h", "g", "left", "right").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
@@ -297,11 +307,14 @@ class Parsed:
         starts = pairs_within(opening, ["block"], "doc_id").select("x", "y")
         ways = chained.select("block", "prev").distinct()
         forks = pairs_within(ways, ["block"], "prev").select("block", F.col("x").alias("p"), F.col("y").alias("q"))
-        by_way = lists_of(chained, ["block", "prev"], "doc_id").select("block", "prev", "items")
+        by_way = lists_of(chained, ["block", "prev"], "doc_id")
         side = lambda key, name: by_way.select("block", F.col("prev").alias(key), F.col("items").alias(name))
         turned = spread_out(forks.join(side("p", "a"), ["block", "p"]).join(side("q", "b"), ["block", "q"]).select("a", "b"))
-        hot = pairs_within(self._met().select("w1", "w2", "block").distinct(), ["w1", "w2"], "block").select("x", "y")
-        edges = self.matches.select("x", "y").unionByName(hot).distinct()
+        edges = self.matches.select("x", "y")
+        if not self.hot.isEmpty():
+            hot = pairs_within(self._met().select("w1", "w2", "block").distinct(), ["w1", "w2"], "block")
+            edges = edges.unionByName(hot.select("x", "y"))
+        edges = edges.distinct()
         of_block = lists_of(at.select("block", "doc_id"), ["block"], "doc_id")
         end = lambda key, name: of_block.select(F.col("block").alias(key), F.col("items").alias(name))
         crossed = spread_out(edges.join(end("x", "a"), "x").join(end("y", "b"), "y").select("a", "b")).filter(F.col("x") != F.col("y"))
@@ -310,8 +323,8 @@ class Parsed:
 
     def links(self) -> DataFrame:
         """``doc_a < doc_b`` for all documents that share a run, each once, copies included."""
-        between = materialize(self.text_links(), "links")
-        lists = lists_of(self.copies.select("rep", "doc_id"), ["rep"], "doc_id").select("rep", "items")
+        between = self.text_links()
+        lists = lists_of(self.copies.select("rep", "doc_id"), ["rep"], "doc_id")
         side = lambda key, name: lists.select(F.col("rep").alias(key), F.col("items").alias(name))
         wide = between.join(side("doc_a", "a"), "doc_a", "left").join(side("doc_b", "b"), "doc_b", "left")
         wide = wide.select(F.coalesce("a", F.array("doc_a")).alias("a"), F.coalesce("b", F.array("doc_b")).alias("b"))
