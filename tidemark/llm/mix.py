@@ -146,7 +146,7 @@ def shares(mixed: DataFrame, items: DataFrame, targets: DataFrame, plan: tuple[f
     spark = items.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(s, float(p["wanted"]), float(p["demand"])) for s, p in plan[1].items()] or [("", 0.0, 0.0)], "source string, wanted double, demand double"))
     got = mixed.groupBy("source").agg(F.sum("tokens").alias("selected_tokens"), (F.max("epoch") + 1).alias("most_uses"), F.count("*").alias("records"))
-    have = items.filter(F.col("tokens") > 0).join(wanted.select("source", "wanted"), "source", "left")
+    have = items.select("source", "tokens").filter(F.col("tokens") > 0).join(wanted.select("source", "wanted"), "source", "left")
     have = have.groupBy("source").agg(F.sum("tokens").alias("available_tokens"), F.count(F.when(F.col("tokens") > F.col("wanted"), 1)).alias("passed_over"))
     whole = got.agg(F.sum("selected_tokens").alias("total_tokens"))
     listed = _listed(targets).withColumnsRenamed({"share": "target_share", "repeats": "max_repeats"})
