@@ -159,3 +159,32 @@ def test_versions_are_compared_after_normalization(spark, tmp_path):
     pages = [("p", 1, "One  text"), ("p", 2, "one text [4]"), ("p", 3, "Two"), ("p", 4, "one text"), ("q", 1, None), ("q", 2, "x"), (None, 1, "y")]
     d = write(spark, tmp_path, wiki_text=(pages, "page_id string, scraped_at int, full_text string"))
     assert rows(texts.queries()["source_change_class"](spark, d)) == [("p", 1, "inserted"), ("p", 2, "touched"), ("p", 3, "superseded"), ("p", 4, "superseded"), ("q", 1, "inserted")]
+
+
+def test_pending_sources(spark):
+    sources = spark.createDataFrame([(1, 5), (2, 1), (3, 9), (None, 9)], "id int, n int")
+    done = spark.createDataFrame([(1, "v1"), (1, "v1"), (3, "v2"), (None, "v1")], "id int, version string")
+    ids = lambda df: sorted((r["id"] for r in df.collect()), key=str)
+    assert ids(merging.pending(sources, done, "id")) == [2, None] and ids(merging.pending(sources, done, "id", "v1")) == [2, 3, None]
+    assert ids(merging.pending(sources, done, "id", "v1", least=F.col("n") >= 2)) == [3, None] and len(ids(merging.pending(sources, done, "id", force=True))) == 4
+
+
+def test_paced_calls_are_tried_again():
+    from tidemark.sources import loaders
+
+    now, slept, calls = [0.0], [], []
+
+    def sleep(s):
+        slept.append(round(s, 3))
+        now[0] += s
+
+    def fetch(x):
+        calls.append(now[0])
+        if len(calls) < 3:
+            raise OSError("busy")
+        return x + 1
+
+    call = loaders.paced(fetch, per_second=2, tries=3, wait=1.0, sleep=sleep, clock=lambda: now[0])
+    assert call(1) == 2 and slept == [1.0, 2.0] and call(5) == 6 and slept[-1] == 0.5
+    with pytest.raises(OSError):
+        loaders.paced(lambda: (_ for _ in ()).throw(OSError()), tries=2, sleep=lambda s: None)()

@@ -201,3 +201,15 @@ def link_members(members: DataFrame, groups: DataFrame, key: str, group: str, li
     what the member says, and of several lists the one of the least group."""
     named = groups.select(F.col(group).alias("_g"), F.explode(listed).alias("_k")).groupBy("_k").agg(F.min("_g").alias("_g"))
     return set_column(members, group, named.select(F.col("_k").alias(key), F.col("_g").alias(group)), key)
+
+
+def pending(sources: DataFrame, done: DataFrame, key: str, version: str | None = None, force: bool = False, least: Column | None = None) -> DataFrame:
+    """``sources`` that have no result yet in ``done(key, version)``, for one ``version`` if given.
+
+    ``force`` takes all of them; ``least`` is a further condition on the sources. Null keys have no result.
+    """
+    sources = sources if least is None else sources.filter(least)
+    if force:
+        return sources
+    had = done if version is None else done.filter(F.col("version") == version)
+    return sources.join(had.select(key).distinct(), key, "left_anti")

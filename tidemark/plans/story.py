@@ -219,6 +219,18 @@ def network_report_gt10(spark, d):
     return _report(busy(spark, d))
 
 
+_MOST_SEEN = f"(SELECT character FROM ({_SEEN}) GROUP BY 1 ORDER BY COUNT(*) DESC, character LIMIT 1)"
+
+
+@query(f"SELECT arc::BIGINT AS arc FROM {_ARCS} r WHERE EXISTS (SELECT 1 FROM ({_SEEN}) x WHERE x.character = {_MOST_SEEN} AND x.chapter BETWEEN r.s AND r.e)")
+def arcs_of_most_seen(spark, d):
+    """Arcs in any chapter of which the most seen character appears."""
+    s = seen(spark, d)
+    top = s.groupBy("character").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "character").limit(1).select("character")
+    hits = _in_ranges(spark, d, s.join(F.broadcast(top), "character", "left_semi"), ARC, "arc").select("arc").distinct()
+    return ranges.equal_ranges(table(spark, d, "chapter"), "number", ARC, "arc").join(hits, "arc", "left_semi").select(F.col("arc").cast("long").alias("arc"))
+
+
 @query("SELECT number, title, volume, date FROM chapter ORDER BY number DESC LIMIT 1")
 def entity_latest(spark, d):
     return table(spark, d, "chapter").select("number", "title", "volume", "date").orderBy(F.desc("number")).limit(1)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import time
 from collections.abc import Iterator
 from functools import reduce
 
@@ -211,6 +212,27 @@ def typed_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
+def paced(fetch, per_second: float = 1.0, tries: int = 3, wait: float = 1.0, sleep=time.sleep, clock=time.monotonic):
+    """``fetch`` at most ``per_second`` times a second, tried again up to ``tries`` times in all when it fails; the wait
+    doubles from try to try. The last failure is raised. Each task that gets the function keeps its own pace."""
+    last = [-float("inf")]
+
+    def call(*arguments):
+        for k in range(tries):
+            ahead = last[0] + 1 / per_second - clock()
+            if ahead > 0:
+                sleep(ahead)
+            last[0] = clock()
+            try:
+                return fetch(*arguments)
+            except Exception:
+                if k == tries - 1:
+                    raise
+                sleep(wait * 2**k)
+
+    return call
+
+
 def follow(get, most: int = 10_000):
     """Answers of ``get(token)`` from the first (token None) on, as long as each names a next one under 'continue'.
 
