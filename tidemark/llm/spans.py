@@ -141,34 +141,41 @@ def long_texts(docs: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
 
 
 def anchors(texts: DataFrame, min_len: int = MIN_LEN, seed: int = SEED) -> DataFrame:
-    """``h, doc_id, t, pos, fill`` of every anchor of ``texts(doc_id, text, t)``."""
+    """``h, doc_id, pos, fill`` of every anchor of ``texts(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             at, hs, fills, counts = [], [], [], []
-            for text in batch.column(2).to_pylist():
+            for text in batch.column(1).to_pylist():
                 pos, h, fill = anchors_of(text, hasher, min_len, seed)
                 counts.append(len(pos))
                 for o, v in zip((at, hs, fills), (pos, h, fill)):
                     o.append(v)
             if counts:
-                ids, ts = (np.repeat(batch.column(c).to_numpy(), counts) for c in (0, 1))
+                ids = np.repeat(batch.column(0).to_numpy(), counts)
                 at, fills = (np.concatenate(x).astype(np.int32) for x in (at, fills))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs), pa.int64()), pa.array(ids), pa.array(ts), pa.array(at), pa.array(fills)], ["h", "doc_id", "t", "pos", "fill"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs), pa.int64()), pa.array(ids), pa.array(at), pa.array(fills)], ["h", "doc_id", "pos", "fill"])
 
-    return texts.select(F.col("doc_id").cast("long"), "t", "text").mapInArrow(run, "h long, doc_id long, t long, pos int, fill int")
+    return texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "h long, doc_id long, pos int, fill int")
 
 
-def shared_blocks(texts: DataFrame, copied: DataFrame, min_len: int = MIN_LEN, seed: int = SEED) -> DataFrame:
+def _in_several(places: DataFrame) -> DataFrame:
+    """Rows of ``places(h, doc_id, ...)`` whose anchor stands in more than one document."""
+    index = places.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter(F.col("lo") < F.col("hi"))
+    return places.join(index.select("h"), "h", "left_semi")
+
+
+def shared_blocks(texts: DataFrame, copies: DataFrame, min_len: int = MIN_LEN, seed: int = SEED) -> DataFrame:
     """``h, doc_id, pos, fill, left, right, g`` of each place whose anchor also occurs in another text.
 
-    ``left`` is reversed, so that both sides grow away from the anchor.  Of ``copied(t, rep)`` only ``rep`` has places.
+    ``left`` is reversed, so that both sides grow away from the anchor.  Of ``copies(doc_id, rep)`` only ``rep`` has
+    places: anchors that stand in one document go first, which are most, then the copies, then what only they shared.
     """
     every = materialize(anchors(texts, min_len, seed), "anchors")
-    index = every.groupBy("h").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).filter(F.col("lo") < F.col("hi")).select("h")
-    shared = every.join(index, "h", "left_semi").join(copied.select("t", "rep"), "t", "left").filter(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")))
-    places = shared.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "fill", "h")).alias("places"))
+    others = copies.filter(F.col("doc_id") != F.col("rep")).select("doc_id")
+    shared = materialize(_in_several(every).join(others, "doc_id", "left_anti"), "shared")
+    places = _in_several(shared).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "fill", "h")).alias("places"))
     side = min_len - seed
     joined = texts.select("doc_id", "text").join(places, "doc_id")
 
@@ -271,9 +278,8 @@ class Parsed:
         texts = long_texts(docs, min_len)
         classes = texts.groupBy("t", "t2").agg(F.min("doc_id").cast("long").alias("rep"), F.max("doc_id").alias("hi")).filter(F.col("rep") < F.col("hi"))
         member = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "t", "t2", F.length("text").alias("n")).join(classes.select("t", "t2", "rep"), ["t", "t2"])
-        self.copies = materialize(member.select("doc_id", "rep", "n", "t").distinct(), "copies")
-        copied = self.copies.filter(F.col("doc_id") == F.col("rep")).select("t", "rep")
-        places = shared_blocks(texts, copied, min_len, seed).withColumn("block", F.xxhash64("h", "g", "left", "right")).distinct()
+        self.copies = materialize(member.select("doc_id", "rep", "n").distinct(), "copies")
+        places = shared_blocks(texts, self.copies, min_len, seed).withColumn("block", F.xxhash64("h", "g", "left", "right")).distinct()
         self.places = materialize(places, "places")
         blocks = self.places.groupBy("block", "h", "g", "left", "right").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
         self.blocks = blocks = materialize(blocks, "blocks")
