@@ -1,5 +1,10 @@
 """Small tables whose rows tell the right reading of a job from near ones."""
 
+import itertools
+import random
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +193,25 @@ def test_paced_calls_are_tried_again():
     assert call(1) == 2 and slept == [1.0, 2.0] and call(5) == 6 and slept[-1] == 0.5
     with pytest.raises(OSError):
         loaders.paced(lambda: (_ for _ in ()).throw(OSError()), tries=2, sleep=lambda s: None)()
+
+
+def test_pairs_are_counted_where_they_are_made(spark, monkeypatch):
+    draw = random.Random(3)
+    member = [(draw.randrange(40), f"{draw.choice('aéZ😀')}{draw.randrange(25)}") for _ in range(600)]
+    df = spark.createDataFrame(member, "g int, v string")
+    edges = network.pair_edges(df, "g", "v", block=100)
+    made, _, before = edges._jdf.queryExecution().executedPlan().toString().partition("MapInArrow")
+    assert before and "Exchange" not in made and "Join" not in before  # no pair is shuffled
+    for distinct in (True, False):
+        n = Counter(member)
+        want = Counter()
+        for (g, a), (h, b) in itertools.product(n, n):
+            if g == h and a.encode() < b.encode():
+                want[a, b] += 1 if distinct else n[g, a] * n[h, b]
+        got = rows(network.pair_edges(df, "g", "v", distinct=distinct, block=100))
+        assert got == sorted((a, b, w) for (a, b), w in want.items())
+        assert rows(network.pair_edges(df, "g", "v", min_weight=3, distinct=distinct, block=100)) == [r for r in got if r[2] >= 3]
+        batch = pa.RecordBatch.from_pydict({"g": [g for g, _ in n], "v": [v for _, v in n], "n": [1 if distinct else k for k in n.values()], "side": [0] * len(n)})
+        for most in (1, 50, 10**6):
+            monkeypatch.setattr(network, "AT_ONCE", most)
+            assert sorted(tuple(r.values()) for b in network._counted(1, distinct, 1)([batch]) for r in b.to_pylist()) == got

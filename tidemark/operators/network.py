@@ -2,31 +2,135 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
 
-#: Members of a group that meet those of another part of it in one task.
-BLOCK = 1024
+#: Rows of a part of the items that meets another part in one task, and pairs that a task counts at a time.
+BLOCK, AT_ONCE = 500_000, 1_000_000
+#: Parts that even few rows are cut into, so that all cores have work, and rows from which a part pays.
+LEAST_PARTS, LEAST_ROWS = 8, 10_000
 
 
-def pair_edges(member: DataFrame, group: str, item: str, min_weight: int = 1, distinct: bool = True, block: int = BLOCK) -> DataFrame:
+def pair_edges(member: DataFrame, group: str, item: str, min_weight: int = 1, distinct: bool = True, block: int = BLOCK, span: int = 1) -> DataFrame:
     """``source < target, weight``: groups shared by two items; with ``distinct`` off repeated rows count again.
 
-    A group of over ``block`` members is cut into parts by hash; each part meets the whole group under a key of its own,
-    so the pairs of a hot group are made by as many tasks as it has parts.
+    With ``span`` groups are whole numbers, and a row also stands in the ``span`` - 1 groups before its own, from 1 on.
+
+    Items are cut into parts by hash, and each two parts meet in a task of their own that has all their rows, so it
+    counts the groups of its pairs to the end: rows are shuffled, pairs never are.
     """
     m = member.select(F.col(group).alias("g"), F.col(item).alias("v")).filter(F.col("g").isNotNull() & F.col("v").isNotNull())
-    m = m.distinct() if distinct else m.groupBy("g", "v").agg(F.count("*").alias("n"))
-    sizes = m.groupBy("g").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts"), F.count("*").alias("size")).filter(F.col("size") > 1).drop("size")
-    m = m.join(sizes, "g")
-    a = m.withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).alias("a")
-    b = m.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
-    joined = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.v") < F.col("b.v")))
-    weight = F.count("*") if distinct else F.sum(F.col("a.n") * F.col("b.n"))
-    return joined.groupBy(F.col("a.v").alias("source"), F.col("b.v").alias("target")).agg(weight.alias("weight")).filter(F.col("weight") >= min_weight)
+    m = m.distinct().withColumn("n", F.lit(1).cast("long")) if distinct else m.groupBy("g", "v").agg(F.count("*").alias("n"))
+    m = materialize(m.sortWithinPartitions("v"), "members")
+    rows = m.count()
+    parts = max(1, -(-rows // block), min(LEAST_PARTS, rows // LEAST_ROWS))
+    part, other = F.pmod(F.xxhash64("v"), F.lit(parts)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    m = m.withColumn("p", part).withColumn("o", other)
+    high = F.greatest("p", "o")
+    task = (high * (high + 1) / 2).cast("int") + F.least("p", "o")
+    # Rows of the lower part are left, rows of the other one right; a part that meets itself is neither.
+    m = m.select("g", "v", "n", F.signum(F.col("p") - F.col("o")).cast("int").alias("side"), task.alias("task"))
+    kind = m.schema["v"].dataType.simpleString()
+    met = m.repartitionById(parts * (parts + 1) // 2, F.col("task")).select("g", "v", "n", "side")
+    return met.mapInArrow(_counted(min_weight, distinct, span), f"source {kind}, target {kind}, weight long")
+
+
+def _counted(min_weight: int, distinct: bool, span: int):
+    """Edges of the one pair of parts that a task gets as rows (g, v, n, side)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        names, v = _ranks(t["v"])
+        g = t["g"].to_numpy().astype(np.int64) if span > 1 else _ranks(t["g"])[1]
+        n, side = t["n"].to_numpy(), t["side"].to_numpy()
+        del t, held
+        left, right = (_rows(g[s], v[s], n[s], span) for s in (side <= 0, side >= 0))
+        same = bool((side == 0).any())
+        for code, weight in _pairs(left, right, len(names), same, distinct):
+            enough = np.flatnonzero(weight >= min_weight)
+            for k in range(0, len(enough), 1 << 17):
+                at = enough[k : k + (1 << 17)]
+                a, b = np.divmod(code[at], len(names))
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(a)), names.take(pa.array(b)), pa.array(weight[at], pa.int64())], ["source", "target", "weight"])
+
+    return run
+
+
+def _ranks(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The different values in their order (text by its bytes), and the place of each row's value among them."""
+    coded = column.combine_chunks().dictionary_encode()
+    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return coded.dictionary.take(pa.array(order)), place[coded.indices.to_numpy()]
+
+
+def _rows(g: np.ndarray, v: np.ndarray, n: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (g, v, n) in the order of v; with ``span`` each also in the groups before its own, once."""
+    if span > 1 and len(g):
+        g, v = np.concatenate([g - k for k in range(span)]), np.tile(v, span)
+        kept = g >= 1
+        g, v = g[kept], v[kept]
+        order = np.lexsort((g, v))
+        g, v = g[order], v[order]
+        new = np.ones(len(g), bool)
+        new[1:] = (g[1:] != g[:-1]) | (v[1:] != v[:-1])
+        return g[new], v[new], np.ones(int(new.sum()), np.int64)
+    order = np.argsort(v, kind="stable")
+    return g[order], v[order], n[order]
+
+
+def _pairs(left: tuple, right: tuple, names: int, same: bool, distinct: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(low rank * ``names`` + high rank, weight) of the pairs of a left and a right row of one group, some items of the
+    left at a time."""
+    (g, v, n), (rg, rv, rn) = left, right
+    if not len(g) or not len(rg):
+        return
+    order = np.argsort(rg, kind="stable")
+    rv, rn = rv[order], rn[order]
+    groups, first, size = np.unique(rg[order], return_index=True, return_counts=True)
+    at = np.minimum(np.searchsorted(groups, g), len(groups) - 1)
+    found = groups[at] == g
+    at, v, n = at[found], v[found], n[found]
+    if not len(v):
+        return
+    first, size = first[at], size[at]
+    ends = np.append(np.flatnonzero(np.diff(v)) + 1, len(v))  # where the rows of an item end
+    total = np.cumsum(size)
+    s = 0
+    while s < len(v):
+        most = (total[s - 1] if s else 0) + AT_ONCE
+        e = ends[max(np.searchsorted(total[ends - 1], most, side="right") - 1, np.searchsorted(ends, s, side="right"))]
+        each = size[s:e]
+        into = np.repeat(first[s:e] - np.cumsum(each) + each, each) + np.arange(each.sum())
+        a, b = np.repeat(v[s:e], each), rv[into]
+        w = None if distinct else np.repeat(n[s:e], each) * rn[into]
+        s = e
+        if same:  # each pair comes from both of its items
+            kept = a < b
+            a, b, w = a[kept], b[kept], None if w is None else w[kept]
+        code = np.minimum(a, b) * names + np.maximum(a, b)
+        if not len(code):
+            continue
+        if w is None:
+            code.sort()
+        else:
+            order = np.argsort(code, kind="stable")
+            code, w = code[order], w[order]
+        starts = np.append(0, np.flatnonzero(np.diff(code)) + 1)
+        yield code[starts], np.diff(starts, append=len(code)) if w is None else np.add.reduceat(w, starts)
 
 
 def degrees(edges: DataFrame) -> DataFrame:
