@@ -2,8 +2,9 @@
 
 import datetime
 import json
+from collections import Counter
 
-from tidemark.operators import chunks, ranges, search
+from tidemark.operators import chunks, network, ranges, search
 from tidemark.plans import story, texts
 
 
@@ -98,3 +99,15 @@ def test_weeks_of_iso_years(spark, tmp_path):
     d = write(spark, tmp_path, chapter=(chapters, "date date, num_page int"))
     got = [{k: v for k, v in r.asDict().items() if v is not None} for r in story.queries()["pivot_year_week"](spark, d).orderBy("year").collect()]
     assert got == [{"year": 2020, "w53": 15.0}, {"year": 2021, "w01": 7.0}]
+
+
+def test_windows_unfold_where_their_pairs_are_counted(spark, tmp_path, monkeypatch):
+    coc = [(k * k % 31, c) for k in range(40) for c in "abcdef"[k % 3 :: 2 + k % 2]] + [(0, "z"), (3, "z"), (3, "z"), (-2, "y"), (4, "y"), (2**31 - 1, "a"), (2**31 - 2, "z")]
+    d = write(spark, tmp_path, coc=(coc, "chapter int, character string"))
+    seen = []
+    monkeypatch.setattr(network, "materialize", lambda df, name="t": seen.append(df.count()) or df)
+    for n in (2, 7):
+        member = {(g, c) for k, c in coc for g in range(k - n + 1, k + 1) if g >= 1}
+        want = Counter((a, b) for g, a in member for h, b in member if g == h and a < b)
+        assert rows(story.queries()[f"coappear_consec_{n}"](spark, d)) == sorted((a, b, w) for (a, b), w in want.items())
+    assert seen == [len(set(coc))] * 2  # rows meet as they are, not once for each window

@@ -165,9 +165,7 @@ def coappear_saga(spark, d):
 
 def _consecutive(n: int):
     def run(spark, d):
-        starts = F.explode(F.sequence(F.col("chapter") - (n - 1), F.col("chapter")))
-        member = seen(spark, d).select(starts.alias("g"), "character").filter(F.col("g") >= 1)
-        return network.pair_edges(member, "g", "character")
+        return network.pair_edges(seen(spark, d), "chapter", "character", span=n)
 
     run.__name__ = f"coappear_consec_{n}"
     return query(_pairs(f"SELECT DISTINCT chapter - k AS g, character AS v FROM ({_SEEN}) x, (SELECT UNNEST(generate_series(0, {n - 1})) AS k) WHERE chapter - k >= 1"))(run)
